@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sensorflow.functions.basic import any_of, as_col, present
+from sensorflow.functions.basic import any_of, as_col, present, rounded
 from sensorflow.schema import (
     ALERT_STATUSES, CRITICAL_LIMITS, LOG_LEVEL_BY_SEVERITY, MOTORS, RETENTION_DAYS_BY_CLASS, SENSORS, STORE_BY_CLASS,
 )
@@ -28,7 +28,7 @@ def consumer_analysis() -> dict[str, Column]:
     speed1, speed2, speed3 = map(F.col, MOTORS)
     found = consumer_alerts()
     return {
-        "sensor_average": F.round((first + second + third) / 3, 2),
+        "sensor_average": rounded((first + second + third) / 3, 2),
         "motor_total": speed1 + speed2 + speed3,
         "alerts": found,
         "status": F.when(F.size(found) > 0, "CRITICAL").otherwise("NORMAL"),

@@ -70,3 +70,8 @@ def band(value: Column, steps: list[tuple[float, object]], below: object) -> Col
     for lower, label in steps:
         result = F.when(value >= lower, F.lit(label)).otherwise(result)
     return F.when(value.isNotNull(), result)
+
+
+def rounded(column: Column | str, places: int) -> Column:
+    """Half-up rounding that looks at 12 places only, so the last bits of a double do not decide a tie."""
+    return F.round(as_col(column).cast("decimal(38,12)"), places).cast("double")

@@ -14,22 +14,22 @@ from sensorflow.functions.basic import any_of, within
 from sensorflow.functions.cleaning import clip, in_range_or_null, out_of_range
 from sensorflow.functions.scoring import outlier_score
 from sensorflow.operators.joins import join_derived
+from sensorflow.operators.quantiles import percentile
 from sensorflow.operators.windows import forward_fill
 from sensorflow.schema import MEASURES, RANGES, SENSORS, Z_LIMITS
 
-P95_ACCURACY = 100_000
 
-
-def baselines(df: DataFrame, columns=SENSORS, suffix: str = "", key: str = "DeviceId", p95: bool = True,
-              accuracy: int = P95_ACCURACY) -> DataFrame:
-    """Mean, sample deviation and (approximate, mergeable) 95th percentile of each column per device."""
+def baselines(df: DataFrame, columns=SENSORS, suffix: str = "", key: str = "DeviceId", p95: bool = True) -> DataFrame:
+    """Mean and sample deviation of each column per device, and its 95th percentile (a value that occurs)."""
     stats = []
     for c in columns:
         value = F.col(c + suffix)
-        if p95:
-            stats.append(F.percentile_approx(value, 0.95, accuracy).alias(f"{c}_p95"))
         stats += [F.avg(value).alias(f"{c}_mean"), F.stddev_samp(value).alias(f"{c}_std")]
-    return df.groupBy(key).agg(*stats)
+    moments = df.groupBy(key).agg(*stats)
+    if not p95:
+        return moments
+    high = percentile(df.select(key, *(F.col(c + suffix).alias(c) for c in columns)), columns, 0.95, key, suffix="_p95")
+    return moments.join(high, key, "left")
 
 
 def _with_baselines(df: DataFrame, key: str = "DeviceId", **kw) -> DataFrame:

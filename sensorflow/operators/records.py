@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.functions.alerts import alert_record, needs_alert, record_class, storage_route
+from sensorflow.functions.basic import rounded
 from sensorflow.functions.quality import is_valid_record, presence_score, record_quality
 from sensorflow.functions.scoring import motor_efficiency, sensor_status
 from sensorflow.operators.clean import clean_with_marks, reject_null_keys
@@ -20,9 +21,9 @@ def transform(df: DataFrame, processed_at: Column | None = None, time: str = "ti
     cleaned = clean_with_marks(judged, time, keep=(*keep, "_quality"))
     return cleaned.withColumns({
         "sensor_status": sensor_status([f"{s}_clean" for s in SENSORS]),
-        "motor_efficiency": F.round(
+        "motor_efficiency": rounded(
             motor_efficiency([f"{m}_clean" for m in MOTORS], "sensor1_clean", "sensor2_clean"), 4),
-        "quality_score": F.round("_quality.quality_score", 4),
+        "quality_score": rounded("_quality.quality_score", 4),
         "quality_grade": F.col("_quality.grade"),
         "quality_issues": F.col("_quality.issues"),
         "processed_at": F.current_timestamp() if processed_at is None else processed_at,

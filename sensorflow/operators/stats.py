@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorflow.functions.basic import band, share
+from sensorflow.operators.quantiles import percentile
 from sensorflow.schema import MOTORS, SENSORS
 
 
@@ -29,16 +30,16 @@ def hourly_statistics(df: DataFrame, suffix: str = "_clean", time: str = "event_
 
 
 def latency_statistics(df: DataFrame, latency: Column) -> DataFrame:
-    """Mean, inclusive 95th percentile and maximum. Equal latencies are counted first, so the exact percentile
-    sees one row per distinct value instead of one per message."""
-    counted = df.select(latency.alias("latency")).filter(F.col("latency").isNotNull()).groupBy("latency").agg(
-        F.count("*").alias("n"))
-    return counted.agg(
-        F.try_divide(F.sum(F.col("latency") * F.col("n")), F.sum("n")).alias("mean_latency"),
-        F.percentile("latency", 0.95, F.col("n")).alias("p95_latency"),
-        F.max("latency").alias("max_latency"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("messages"),
-    )
+    """Mean, inclusive 95th percentile and maximum of the latency in seconds."""
+    measured = df.select(latency.cast("double").alias("latency"))
+    p95 = percentile(measured, ["latency"], 0.95, interpolate=True, suffix="_p95")
+    summary = measured.agg(
+        F.avg("latency").alias("mean_latency"), F.max("latency").alias("max_latency"),
+        F.count("latency").alias("messages"))
+    # Two tables of one row each.
+    one = F.lit(1).alias("_one")
+    joined = summary.select("*", one).join(p95.select("*", one), "_one", "left")
+    return joined.select("mean_latency", F.col("latency_p95").alias("p95_latency"), "max_latency", "messages")
 
 
 def latency_status(df: DataFrame, latency: Column, limit: float = 60, keep=()) -> DataFrame:

@@ -67,15 +67,15 @@ class Chunks:
 
 
 def chunked(df: DataFrame, time: str = "event_time", key: str = "DeviceId", tie: str | None = "event_id",
-            span: int = HOUR, max_rows: int = 5_000_000, position: Column | None = None) -> Chunks:
+            span: int = HOUR, max_rows: int | None = 5_000_000, position: Column | None = None) -> Chunks:
     """Cuts the order of every `key` into chunks. The order is `time` (span in microseconds) or `position`, any
     whole-number expression (span in its unit); `tie` orders rows of equal position. Rows without key or position
-    have no place in an order and are left out."""
+    have no place in an order and are left out. `max_rows` None skips the look for spans with too many rows."""
     placed = df.withColumn("_pos", micros(time) if position is None else position)
     placed = placed.filter(F.col(key).isNotNull() & F.col("_pos").isNotNull())
     placed = placed.withColumn("_cell", F.floor(F.col("_pos") / F.lit(span)))
     chunks = Chunks(placed.withColumn("_part", F.lit(0)), key, tie)
-    hot, limit = hot_cells(placed, key, max_rows)
+    hot, limit = hot_cells(placed, key, max_rows) if max_rows else ([], 0)
     if hot:
         chunks = replace(chunks, df=_split(placed, chunks, hot, limit))
     return chunks

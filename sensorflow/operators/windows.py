@@ -47,10 +47,10 @@ def rolling(df: DataFrame, value: str, seconds: float, time: str = "event_time",
             F.sum("_q").cast("decimal(28,12)").alias("_q"))
         ranged = _sweep(instants, key, seconds, span, max_rows)
         return rows.join(ranged, key_pos, "left").drop("_pos")
-    return _sweep(rows.withColumns(parts), key, seconds, span, max_rows).drop("_pos")
+    return _sweep(rows.withColumns(parts), key, seconds, span, None).drop("_pos")
 
 
-def _sweep(rows: DataFrame, key: str, seconds: float, span: int, max_rows: int) -> DataFrame:
+def _sweep(rows: DataFrame, key: str, seconds: float, span: int, max_rows: int | None) -> DataFrame:
     """Running totals over entries at `_pos` and departures one microsecond after the range is over."""
     names = ["_n", "_s", "_q"]
     leave = rows.select(

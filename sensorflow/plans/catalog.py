@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorflow.functions.basic import rounded
 from sensorflow.session import SETTINGS
 from sensorflow.sources.tables import Tables
 
@@ -36,7 +37,7 @@ def tidy(df: DataFrame) -> DataFrame:
     for name, kind in df.dtypes:
         c = F.col(f"`{name}`")
         if kind == "double":
-            c = F.round(c, 6)
+            c = rounded(c, 6)
         elif kind == "timestamp":
             c = c.cast("timestamp_ntz")
         elif kind == "date":
@@ -122,8 +123,26 @@ _NEEDS = {"cleaned": ["readings"], "nested": ["readings"], "status": ["readings"
           "efficiency": ["readings"], "base": ["readings", "cleaned"], "loose": ["readings"]}
 
 
+def _rounded(sql: str) -> str:
+    """Writes `round(x, n)` the way `rounded` works: from 12 places, half up."""
+    at = sql.find("round(")
+    if at < 0:
+        return sql
+    depth, cut = 0, None
+    for i in range(at + 5, len(sql)):
+        depth += {"(": 1, ")": -1}.get(sql[i], 0)
+        if sql[i] == "," and depth == 1:
+            cut = i
+        if depth == 0:
+            break
+    if cut is None or not sql[cut + 1:i].strip().isdigit():
+        return sql[:at + 6] + _rounded(sql[at + 6:])
+    inner, places = _rounded(sql[at + 6:cut]), sql[cut + 1:i].strip()
+    return f"{sql[:at]}CAST(round(CAST({inner} AS DECIMAL(38, 12)), {places}) AS DOUBLE){_rounded(sql[i + 1:])}"
+
+
 def oracle(name: str) -> str:
-    sql = ORACLES[name].strip()
+    sql = _rounded(ORACLES[name].strip())
     wanted = {p for p in _PARTS if re.search(rf"\b(FROM|JOIN)\s+{p}\b", sql)}
     for part in list(wanted):
         wanted.update(_NEEDS.get(part, []))

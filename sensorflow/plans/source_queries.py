@@ -152,9 +152,9 @@ def issues(t: Tables) -> DataFrame:
     return t.readings().select("event_id", range_issues(FIELDS).alias("issues"))
 
 
-@query("keyword_filter", "SELECT doc_id, n_chars FROM documents WHERE contains(text, 'water')")
+@query("keyword_filter", "SELECT doc_id, n_chars FROM documents WHERE contains(text, 'thing')")
 def keyword_filter(t: Tables) -> DataFrame:
-    return clean.containing(t.table("documents"), "water", "text").select("doc_id", "n_chars")
+    return clean.containing(t.table("documents"), "thing", "text").select("doc_id", "n_chars")
 
 
 @query("device_domain", "SELECT event_id, DeviceId FROM readings WHERE DeviceId BETWEEN 1 AND 5")

@@ -131,9 +131,9 @@ def stream_console_shape(t: Tables) -> DataFrame:
     return shown.select("doc_id", "key", F.length("value").cast("bigint").alias("characters"), "word_count")
 
 
-@query("stream_keyword", """SELECT doc_id, lang AS "key", text AS value FROM documents WHERE contains(text, 'water')""")
+@query("stream_keyword", """SELECT doc_id, lang AS "key", text AS value FROM documents WHERE contains(text, 'thing')""")
 def stream_keyword(t: Tables) -> DataFrame:
-    return finished(t, jobs.keyword_messages(_document_stream(t), "water", keep=["doc_id"]), "keyword").drop("timestamp")
+    return finished(t, jobs.keyword_messages(_document_stream(t), "thing", keep=["doc_id"]), "keyword").drop("timestamp")
 
 
 @query("malformed_quarantine", """
