@@ -75,3 +75,14 @@ def band(value: Column, steps: list[tuple[float, object]], below: object) -> Col
 def rounded(column: Column | str, places: int) -> Column:
     """Half-up rounding that looks at 12 places only, so the last bits of a double do not decide a tie."""
     return F.round(as_col(column).cast("decimal(38,12)"), places).cast("double")
+
+
+def computed_once(df: DataFrame, columns: dict[str, Column] | Column, keep=("*",)) -> DataFrame:
+    """Adds the columns (or the fields of a struct) by way of a generator that makes one row of each row.
+
+    A filter on a plain computed column is moved below the projection by repeating its expression, so a text would be
+    parsed once for the filter and again for the result. Filters stay above a generator.
+    """
+    if isinstance(columns, dict):
+        columns = F.struct(*(c.alias(n) for n, c in columns.items()))
+    return df.select(*keep, F.inline(F.array(columns)))

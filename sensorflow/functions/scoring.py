@@ -68,8 +68,9 @@ def equipment_risk(status, efficiency, failure_rate) -> Column:
 
 def outlier_score(z_scores: dict[str, Column]) -> Column:
     """Largest z-score as a share of twice its limit, at most 1; a sensor without a z-score adds nothing."""
+    # `least` skips NULL and would make a missing z-score the highest one, so NULL is replaced first.
     parts = [
-        F.coalesce(F.least(F.lit(1.0), F.abs(z) / (2 * Z_LIMITS[name])), F.lit(0.0)) for name, z in z_scores.items()
+        F.least(F.lit(1.0), F.coalesce(F.abs(z), F.lit(0.0)) / (2 * Z_LIMITS[name])) for name, z in z_scores.items()
     ]
     return F.greatest(*parts, F.lit(0.0))
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from sensorflow.schema import CRITICAL_LIMITS, RANGES, RATED_RPM, SENSORS, WARNING_LIMITS
+from sensorflow.schema import (
+    CRITICAL_LIMITS, RANGES, RATED_RPM, SENSORS, STATUS_POINTS, UNKNOWN_STATUS_POINTS, WARNING_LIMITS, Z_LIMITS,
+)
 
 
 def _status() -> str:
@@ -30,6 +32,30 @@ def _range_score() -> str:
     return f"CASE WHEN {tests} THEN 1D ELSE 0D END"
 
 
+def _outlier_score() -> str:
+    parts = ", ".join(f"least(1D, coalesce(abs({s}_z), 0D) / {2 * Z_LIMITS[s]}D)" for s in SENSORS)
+    return f"greatest({parts})"
+
+
+def _risk() -> str:
+    labels = " ".join(f"WHEN '{label}' THEN {points}D" for label, points in STATUS_POINTS.items())
+    status = f"CASE status {labels} ELSE {UNKNOWN_STATUS_POINTS}D END"
+    efficiency = "CASE WHEN efficiency < 0.3D THEN 0.3D WHEN efficiency < 0.6D THEN 0.15D ELSE 0D END"
+    failures = "CASE WHEN failure_rate > 0.5D THEN 0.4D WHEN failure_rate > 0.2D THEN 0.2D ELSE 0D END"
+    score = f"least(1D, {status} + {efficiency} + {failures})"
+    level = (
+        f"CASE WHEN {score} >= 0.8D THEN 'CRITICAL' WHEN {score} >= 0.6D THEN 'HIGH' WHEN {score} >= 0.4D THEN 'MEDIUM' "
+        f"WHEN {score} >= 0.2D THEN 'LOW' ELSE 'MINIMAL' END")
+    reasons = (
+        f"array_compact(array(CASE WHEN {status} > 0.2D THEN concat('sensor_status_', lower(status)) END, "
+        "CASE WHEN efficiency < 0.3D THEN 'low_motor_efficiency' WHEN efficiency < 0.6D THEN 'reduced_motor_efficiency' END, "
+        "CASE WHEN failure_rate > 0.5D THEN 'high_failure_rate' WHEN failure_rate > 0.2D THEN 'elevated_failure_rate' END))")
+    return f"named_struct('risk_level', {level}, 'risk_score', {score}, 'risk_factors', {reasons})"
+
+
+RISK = "STRUCT<risk_level: STRING, risk_score: DOUBLE, risk_factors: ARRAY<STRING>>"
+
+
 def register_functions(spark: SparkSession) -> None:
     sensors = "sensor1 DOUBLE, sensor2 DOUBLE, sensor3 DOUBLE"
     motors = "motor1 DOUBLE, motor2 DOUBLE, motor3 DOUBLE, sensor1 DOUBLE, sensor2 DOUBLE"
@@ -37,5 +63,7 @@ def register_functions(spark: SparkSession) -> None:
         ("sensor_status", sensors, "STRING", _status()),
         ("motor_efficiency", motors, "DOUBLE", _efficiency()),
         ("range_score", sensors, "DOUBLE", _range_score()),
+        ("outlier_score", "sensor1_z DOUBLE, sensor2_z DOUBLE, sensor3_z DOUBLE", "DOUBLE", _outlier_score()),
+        ("equipment_risk", "status STRING, efficiency DOUBLE, failure_rate DOUBLE", RISK, _risk()),
     ):
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS {result} RETURN {body}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.functions.basic import event_time
+from sensorflow.functions.basic import computed_once, event_time
 from sensorflow.functions.cleaning import (
     in_range_or_null, known_device, out_of_range, sentinel_to_null, text_to_flag, text_to_int, text_to_reading,
 )
@@ -45,12 +45,12 @@ def coerce_types(df: DataFrame, keep=()) -> DataFrame:
         **{s: text_to_reading(s) for s in SENSORS},
         **{m: text_to_int(m) for m in MOTORS},
     }
-    readable = F.col("_typed.time").isNotNull() & known_device("_typed.DeviceId")
+    readable = F.col("_time").isNotNull() & known_device("_DeviceId")
     for m in MEASURES:
-        readable &= F.col(m).isNull() | F.col(f"_typed.{m}").isNotNull()
-    packed = df.withColumn("_typed", F.struct(*(c.alias(n) for n, c in typed.items())))
-    return packed.filter(readable).select(
-        *keep, *(F.col(f"_typed.{n}").alias(n) for n in typed), text_to_flag("isFail").alias("isFail"))
+        readable &= F.col(m).isNull() | F.col(f"_{m}").isNotNull()
+    both = computed_once(df, {f"_{n}": c for n, c in typed.items()})
+    return both.filter(readable).select(
+        *keep, *(F.col(f"_{n}").alias(n) for n in typed), text_to_flag("isFail").alias("isFail"))
 
 
 def only_known_devices(df: DataFrame) -> DataFrame:

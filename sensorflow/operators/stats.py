@@ -117,3 +117,10 @@ def failure_band(df: DataFrame, seconds: int = 300, time: str = "event_time") ->
         (share(F.col("isFail")) * 100).alias("failure_percent"))
     color = band(F.col("failure_percent"), [(5, "yellow"), (10, "red")], "green")
     return grouped.select(F.col("w.start").alias("window_start"), "failure_percent", color.alias("color"))
+
+
+def alert_history(alerts: DataFrame, unit: str = "day", time: str = "alert_time") -> DataFrame:
+    """Alerts per calendar unit, device and severity."""
+    start = F.date_trunc(unit, F.col(time).cast("timestamp"))
+    return alerts.groupBy("device_id", "severity", start.alias("period")).agg(
+        F.count("*").alias("alerts"), F.count_if("is_fail").alias("failures"))

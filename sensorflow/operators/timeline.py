@@ -164,20 +164,25 @@ def running_total(chunks: Chunks, amounts: dict[str, Column], with_peers: bool =
 
 
 def with_last_rows(chunks: Chunks, columns: list[str], n: int) -> Chunks:
-    """Puts the `n` rows before each chunk into it, marked by `_context`, so that a frame of n rows back is whole.
-    Each chunk gives away at most n rows, and n chunks always hold n rows."""
-    row = F.struct(*chunks.order, *(F.col(c) for c in columns if c not in chunks.order))
+    """Puts (at least) the `n` rows before each chunk into it, marked by `_context`, so that a frame reaching n rows
+    back is whole. A chunk hands its last n rows to the next one, and on to further ones until these have n rows."""
+    names = [*chunks.order, *(c for c in columns if c not in chunks.order)]
     newest = W.partitionBy(*chunks.columns).orderBy(*(F.col(c).desc() for c in chunks.order))
     tails = (
-        chunks.df.select(*chunks.columns, *chunks.order, *(c for c in columns if c not in chunks.order))
+        chunks.df.select(*chunks.columns, *names)
         .withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n)
-        .groupBy(*chunks.columns).agg(F.sort_array(F.collect_list(row)).alias("_tail"))
-    )
-    earlier = W.partitionBy(chunks.key).orderBy(*CHUNK).rowsBetween(-n, -1)
-    context = (
-        tails.withColumn("_rows", F.flatten(F.collect_list("_tail").over(earlier)))
-        .withColumn("_rows", F.slice("_rows", F.greatest(F.size("_rows") - n + 1, F.lit(1)), n))
-        .select(*chunks.columns, F.inline("_rows")).withColumn("_context", F.lit(True))
+        .groupBy(*chunks.columns).agg(F.collect_list(F.struct(*names)).alias("_tail"))
     )
+    ahead = W.partitionBy(chunks.key).orderBy(*CHUNK).rowsBetween(1, n)
+    following = F.collect_list(F.struct(*CHUNK, F.size("_tail").alias("rows"))).over(ahead)
+    start = F.struct(F.lit(0).alias("rows"), F.lit(0).alias("takers"))
+    takers = F.aggregate(
+        "_following", start,
+        lambda seen, chunk: F.when(seen["rows"] >= n, seen).otherwise(
+            F.struct((seen["rows"] + chunk["rows"]).alias("rows"), (seen["takers"] + 1).alias("takers"))))["takers"]
+    handed = tails.withColumn("_following", following).select(
+        chunks.key, "_tail", F.explode(F.slice("_following", F.lit(1), takers)).alias("_to"))
+    context = handed.select(chunks.key, *(F.col("_to")[c].alias(c) for c in CHUNK), F.inline("_tail")).withColumn(
+        "_context", F.lit(True))
     rows = chunks.df.withColumn("_context", F.lit(False))
     return replace(chunks, df=rows.unionByName(context, allowMissingColumns=True))

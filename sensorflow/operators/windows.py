@@ -95,17 +95,28 @@ def iqr_outliers(df: DataFrame, columns=SENSORS, rows: int = IQR_ROWS, factor: f
     columns = list(columns)
     chunks = with_last_rows(chunked(df, time, **cut), columns, rows - 1)
     frame = chunks.window().rowsBetween(-(rows - 1), W.currentRow)
-    marks, quartiles = {}, {}
+    # Sorting the values of a frame is several times faster than the percentile aggregate, which counts them in a map.
+    lists = {f"_{c}_list": F.collect_list(c).over(frame) for c in columns}
+    sorted_lists = {name: F.sort_array(name) for name in lists}
+    marks = {}
     for c in columns:
-        quartiles[f"_{c}_q"] = F.percentile(c, F.array(F.lit(0.25), F.lit(0.75))).over(frame)
-        low, high = F.col(f"_{c}_q")[0], F.col(f"_{c}_q")[1]
-        reach = (high - low) * factor
-        marks |= {
-            f"{c}_q1": low, f"{c}_q3": high,
-            f"{c}_iqr_outlier": F.coalesce((F.col(c) < low - reach) | (F.col(c) > high + reach), F.lit(False)),
-        }
-    df = chunks.df.withColumns(quartiles).filter(~F.col("_context")).withColumns(marks)
-    return replace(chunks, df=df).result("_context", *quartiles)
+        low, high = _of_sorted(F.col(f"_{c}_list"), 0.25), _of_sorted(F.col(f"_{c}_list"), 0.75)
+        marks |= {f"{c}_q1": low, f"{c}_q3": high}
+    df = chunks.df.withColumns(lists).filter(~F.col("_context")).withColumns(sorted_lists).withColumns(marks)
+    outside = {}
+    for c in columns:
+        reach = (F.col(f"{c}_q3") - F.col(f"{c}_q1")) * factor
+        low, high = F.col(f"{c}_q1") - reach, F.col(f"{c}_q3") + reach
+        outside[f"{c}_iqr_outlier"] = F.coalesce((F.col(c) < low) | (F.col(c) > high), F.lit(False))
+    return replace(chunks, df=df.withColumns(outside)).result("_context", *lists)
+
+
+def _of_sorted(values: Column, q: float) -> Column:
+    """Inclusive percentile of a sorted list; NULL for an empty one."""
+    place = (F.size(values) - 1) * q
+    below = F.floor(place).cast("int")
+    first, second = F.get(values, below), F.get(values, below + 1)
+    return first + F.coalesce((place - below) * (second - first), F.lit(0.0))
 
 
 def latest_per_device(df: DataFrame, time: str = "event_time", tie: str = "event_id",

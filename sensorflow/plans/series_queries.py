@@ -196,7 +196,7 @@ def equipment_risk(t: Tables) -> DataFrame:
 
 @query("outlier_score", """
 SELECT event_id, round(greatest(0, %s), 6) AS outlier_score FROM cleaned WINDOW w AS (PARTITION BY DeviceId)""" % ", ".join(
-    f"coalesce(least(1.0::DOUBLE, abs({_z(s, s + '_clean')}) / 6), 0)" for s in SENSORS))
+    f"least(1.0::DOUBLE, coalesce(abs({_z(s, s + '_clean')}), 0) / 6)" for s in SENSORS))
 def outlier_score(t: Tables) -> DataFrame:
     return anomaly.with_outlier_score(cleaned(t)).select("event_id", "outlier_score")
 
@@ -278,6 +278,15 @@ def alert_records(t: Tables) -> DataFrame:
     return found.select("*", "sensors.*").drop("sensors")
 
 
+@query("alert_history", """
+SELECT DeviceId AS device_id, sensor_status AS severity, CAST(date_trunc('day', event_time) AS TIMESTAMP) AS period,
+  count(*) AS alerts, count(*) FILTER (coalesce(isFail, false)) AS failures
+FROM status76 WHERE DeviceId IS NOT NULL AND (sensor_status IN ('CRITICAL', 'HIGH_WARNING') OR coalesce(isFail, false))
+GROUP BY ALL""")
+def alert_history(t: Tables) -> DataFrame:
+    return stats.alert_history(records.alerts(records.process(t.readings(), time="event_time"), "event_time"))
+
+
 @query("alert_routing", """
 SELECT event_id, severity, CASE severity WHEN 'CRITICAL' THEN 'email|chat' WHEN 'WARNING' THEN 'chat' ELSE 'log' END AS channels,
   'Device ' || coalesce(CAST(DeviceId AS VARCHAR), 'Unknown') || ': ' || sensor_status AS message
@@ -310,7 +319,10 @@ def error_severity(t: Tables) -> DataFrame:
 
 @query("sql_functions", """
 SELECT DeviceId, sensor_status, count(*) AS readings, round(avg(motor_efficiency), 6) AS mean_efficiency,
-  CAST(sum(CASE WHEN sensor1 BETWEEN 0 AND 100 AND sensor2 BETWEEN 0 AND 100 AND sensor3 BETWEEN 0 AND 150 THEN 1 ELSE 0 END) AS DOUBLE) AS in_range
+  CAST(sum(CASE WHEN sensor1 BETWEEN 0 AND 100 AND sensor2 BETWEEN 0 AND 100 AND sensor3 BETWEEN 0 AND 150 THEN 1 ELSE 0 END) AS DOUBLE) AS in_range,
+  count(*) FILTER (CASE sensor_status WHEN 'CRITICAL' THEN 0.4::DOUBLE WHEN 'HIGH_WARNING' THEN 0.3 WHEN 'WARNING' THEN 0.15
+      WHEN 'NORMAL' THEN 0 ELSE 0.2 END + CASE WHEN motor_efficiency < 0.3 THEN 0.3::DOUBLE WHEN motor_efficiency < 0.6 THEN 0.15
+      ELSE 0 END >= 0.4) AS at_risk
 FROM status JOIN efficiency USING (event_id) GROUP BY 1, 2""")
 def sql_functions(t: Tables) -> DataFrame:
     register_functions(t.spark)
@@ -318,7 +330,10 @@ def sql_functions(t: Tables) -> DataFrame:
     return t.spark.sql("""
         SELECT DeviceId, sensor_status(sensor1, sensor2, sensor3) AS sensor_status, count(*) AS readings,
           avg(motor_efficiency(motor1, motor2, motor3, sensor1, sensor2)) AS mean_efficiency,
-          sum(range_score(sensor1, sensor2, sensor3)) AS in_range
+          sum(range_score(sensor1, sensor2, sensor3)) AS in_range,
+          count_if(equipment_risk(
+            sensor_status(sensor1, sensor2, sensor3), motor_efficiency(motor1, motor2, motor3, sensor1, sensor2), 0D
+          ).risk_level IN ('MEDIUM', 'HIGH', 'CRITICAL')) AS at_risk
         FROM sensor_readings GROUP BY 1, 2""")
 
 

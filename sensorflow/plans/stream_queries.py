@@ -227,6 +227,16 @@ def stream_sessions(t: Tables) -> DataFrame:
     return finished(t, jobs.sessions(known(t)), "sessions")
 
 
+@query("stream_silence", f"""
+SELECT DeviceId, max(event_time) AS silent_from, max(event_time) + INTERVAL 8 MINUTE AS alarm_at
+FROM (SELECT *, sum(fresh) OVER (PARTITION BY DeviceId ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING) AS session
+  FROM (SELECT *, CASE WHEN event_time - lag(event_time) OVER (PARTITION BY DeviceId ORDER BY event_time, event_id) < INTERVAL 8 MINUTE
+          THEN 0 ELSE 1 END AS fresh FROM readings WHERE DeviceId IS NOT NULL))
+GROUP BY DeviceId, session HAVING max(event_time) + INTERVAL 8 MINUTE <= {_CLOSED}""")
+def stream_silence(t: Tables) -> DataFrame:
+    return finished(t, jobs.silence_alarms(known(t)), "silence")
+
+
 @query("stream_batch_parity", """
 SELECT DeviceId, count(*) AS streamed, count(*) AS batched, true AS same FROM readings WHERE event_id % 150 <> 0 GROUP BY 1""")
 def stream_batch_parity(t: Tables) -> DataFrame:

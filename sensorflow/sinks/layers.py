@@ -83,9 +83,10 @@ class UpsertLog:
     path: str
     keys: tuple[str, ...]
     order: tuple[str, ...]
+    partition_by: tuple[str, ...] = ()
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.newest(batch).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        write_layer(self.newest(batch), f"{self.path}/batch={batch_id}", self.partition_by, mode="overwrite")
 
     def newest(self, df: DataFrame) -> DataFrame:
         """Newest row per key, as an aggregate with a map-side part: copies of one key shrink before the shuffle."""
@@ -97,9 +98,8 @@ class UpsertLog:
 
     def compact(self, spark: SparkSession, target: str) -> UpsertLog:
         """Writes the current state as the first batch of a new log; batch ids of the old one stay above it."""
-        folded = UpsertLog(target, self.keys, self.order)
-        self.read(spark).write.parquet(f"{target}/batch=-1")
-        return folded
+        write_layer(self.read(spark), f"{target}/batch=-1", self.partition_by)
+        return UpsertLog(target, self.keys, self.order, self.partition_by)
 
 
 def compact(spark: SparkSession, source: str, target: str, partition_by=(), kind: str = "parquet",

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorflow.functions.basic import computed_once
 from sensorflow.schema import MEASURES
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -44,7 +45,7 @@ def readings(events: DataFrame) -> DataFrame:
         return F.when(k == gap, None).otherwise((base + n(factor, modulus)).cast("int"))
 
     k = F.col("k")
-    source = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    source = computed_once(events, {"k": F.get_json_object("props", "$.k").cast("int")})
     return source.select(
         "event_id", F.col("ts").alias("event_time"),
         F.when(F.col("event_id") % 97 == 0, None).otherwise((F.col("user_id") % 6).cast("int")).alias("DeviceId"),

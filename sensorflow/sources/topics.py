@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from sensorflow.functions.basic import computed_once
 from sensorflow.functions.cleaning import sentinel_to_null
 from sensorflow.schema import MOTORS, READING
 
@@ -46,7 +47,7 @@ def decode(df: DataFrame, schema: StructType = READING, keep=()) -> DataFrame:
     is kept whole in `_corrupt`."""
     tolerant = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     parsed = F.from_json(F.col("value").cast("string"), tolerant, {"columnNameOfCorruptRecord": CORRUPT})
-    flat = df.select(*keep, parsed.alias("data")).select(*keep, "data.*")
+    flat = computed_once(df, parsed, keep)
     return flat.withColumns({m: F.round(m).cast("int") for m in MOTORS if m in schema.names})
 
 

@@ -61,6 +61,17 @@ def sessions(df: DataFrame, gap: str = "5 minutes", lateness: str = LATENESS, ti
         "DeviceId", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "readings")
 
 
+def silence_alarms(df: DataFrame, window_seconds: int = 300, hold_seconds: int = 180, lateness: str = LATENESS,
+                   time: str = "event_time") -> DataFrame:
+    """One row per device and silence of at least window plus hold, out as soon as the watermark has passed it: the
+    end of a spell of activity. Readings of other devices move the watermark on while one is silent."""
+    quiet = window_seconds + hold_seconds
+    spells = sessions(df, f"{quiet} seconds", lateness, time)
+    return spells.select(
+        "DeviceId", (F.col("session_end") - F.make_dt_interval(secs=F.lit(quiet))).alias("silent_from"),
+        F.col("session_end").alias("alarm_at"))
+
+
 # --- sinks ---------------------------------------------------------------------------------------------------
 
 def _writer(df: DataFrame, checkpoint: str, every: str | None, mode: str = "append"):

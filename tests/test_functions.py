@@ -183,3 +183,10 @@ def test_sql_functions_agree(spark):
         scoring.motor_efficiency().alias("c"),
         F.expr("motor_efficiency(motor1, motor2, motor3, sensor1, sensor2)").alias("d")).collect()
     assert all(r.a == r.b and r.c == pytest.approx(r.d) for r in both)
+    risks = spark.createDataFrame(
+        [("CRITICAL", 0.2, 0.6), ("WARNING", 0.5, 0.3), ("NORMAL", 0.9, 0.0)], "s string, e double, f double")
+    pairs = risks.select(scoring.equipment_risk("s", "e", "f").alias("a"), F.expr("equipment_risk(s, e, f)").alias("b"))
+    assert all(r.a == r.b for r in pairs.collect())
+    z = spark.createDataFrame([(1.5, -9.0, None), (None, None, None)], "a double, b double, c double")
+    score = scoring.outlier_score({"sensor1": F.col("a"), "sensor2": F.col("b"), "sensor3": F.col("c")})
+    assert [tuple(r) for r in z.select(score, F.expr("outlier_score(a, b, c)")).collect()] == [(1.0, 1.0), (0.0, 0.0)]
