@@ -108,6 +108,18 @@ def fill_with_device_mean(df: DataFrame, columns=SENSORS, key: str = "DeviceId")
     return joined.withColumns(filled).select(*df.columns)
 
 
+def repair_nested(df: DataFrame, key: str = "device_id") -> DataFrame:
+    """Nested readings: temperature clipped to 0-100, a missing one replaced by the mean of the device (of the values
+    as they came), efficiency as a whole number."""
+    means = df.groupBy(key).agg(F.avg("sensors.temperature").alias("_mean"))
+    temperature = F.coalesce(clip("sensors.temperature", 0.0, 100.0), F.col("_mean"))
+    repaired = join_derived(df, means, key, "inner").withColumns({
+        "sensors": F.col("sensors").withField("temperature", temperature),
+        "efficiency": F.col("efficiency").cast("int"),
+    })
+    return repaired.select(*df.columns)
+
+
 def treat_outliers(df: DataFrame, action: str, columns=MEASURES, **cut) -> DataFrame:
     """What to do with values out of range: `clip` to the limits, `interpolate` by the last normal value, `flag`,
     or `reject` the row."""

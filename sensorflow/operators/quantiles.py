@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorflow.operators.joins import join_derived
 from sensorflow.operators.timeline import chunked, running_total
 
 MICRO = 1_000_000
@@ -30,7 +31,7 @@ def percentile(df: DataFrame, columns, q: float, key: str | None = None, interpo
     place = (F.col("_total") - 1) * q + 1 if interpolate else F.greatest(F.ceil(F.col("_total") * q), F.lit(1))
     totals = totals.withColumn("_place", place.cast("double"))
     chunks = chunked(counts, key="_series", tie="_value", span=MICRO, position=F.floor(F.col("_value") * MICRO), **cut)
-    ranked = running_total(chunks, {"_upto": F.col("_count")}).df.join(totals, "_series")
+    ranked = join_derived(running_total(chunks, {"_upto": F.col("_count")}).df, totals, "_series", "inner")
     around = ranked.filter(
         (F.col("_upto") >= F.floor("_place")) & (F.col("_upto") - F.col("_count") < F.ceil("_place")))
     low, high = F.min("_value"), F.max("_value")

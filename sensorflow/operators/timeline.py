@@ -50,7 +50,8 @@ class Chunks:
         return W.partitionBy(*self.columns).orderBy(*self.order)
 
     def sort_key(self) -> Column:
-        return F.struct(*self.order)
+        """A plain number where no tie is needed, which keeps the aggregates over it in hash tables."""
+        return F.struct(*self.order) if self.tie else F.col("_pos")
 
     def across(self) -> WindowSpec:
         """All earlier chunks of the device, on a table with one row per chunk."""
@@ -122,12 +123,12 @@ def _split(placed: DataFrame, chunks: Chunks, hot: list, limit: int) -> DataFram
 
 def previous(chunks: Chunks, columns: dict[str, str]) -> Chunks:
     """Value of each column in the row before, across chunks: {new name: column}."""
-    struct = F.struct(*columns.values())
-    chunks = chunks.carry({"_before": F.max_by(struct, chunks.sort_key())}, F.last)
-    before = F.coalesce(F.lag(struct).over(chunks.window()), F.col("_before"))
-    df = chunks.df.withColumn("_before", before)
-    df = df.select("*", *(F.col("_before")[c].alias(n) for n, c in columns.items())).drop("_before")
-    return replace(chunks, df=df)
+    chunks = chunks.carry({f"_last_{n}": F.max_by(c, chunks.sort_key()) for n, c in columns.items()}, F.last)
+    first = F.row_number().over(chunks.window()) == 1
+    before = {
+        n: F.when(first, F.col(f"_last_{n}")).otherwise(F.lag(c).over(chunks.window())) for n, c in columns.items()
+    }
+    return replace(chunks, df=chunks.df.withColumns(before).drop(*(f"_last_{n}" for n in columns)))
 
 
 def fill_forward(chunks: Chunks, columns: Iterable[str]) -> Chunks:

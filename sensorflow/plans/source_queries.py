@@ -240,6 +240,15 @@ def device_mean_fill(t: Tables) -> DataFrame:
     return anomaly.fill_with_device_mean(t.readings()).select("event_id", "DeviceId", *SENSORS)
 
 
+@query("nested_repair", """
+SELECT event_id, device_id, round(coalesce(CASE WHEN temperature > 100 THEN 100.0::DOUBLE WHEN temperature < 0 THEN 0.0::DOUBLE ELSE temperature END,
+    avg(temperature) OVER (PARTITION BY device_id)), 6) AS temperature, humidity, CAST(efficiency AS INT) AS efficiency
+FROM nested WHERE device_id IS NOT NULL""")
+def nested_repair(t: Tables) -> DataFrame:
+    return anomaly.repair_nested(nested(t.readings())).select(
+        "event_id", "device_id", "sensors.temperature", "sensors.humidity", "efficiency")
+
+
 @query("sentinel_to_null", f"SELECT event_id, {', '.join(f'nullif({c}, -1) AS {c}' for c in MEASURES)} FROM readings")
 def sentinel_to_null(t: Tables) -> DataFrame:
     return clean.drop_sentinels(t.readings()).select("event_id", *MEASURES)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.functions.features import date_parts
 from sensorflow.operators.records import alerts, process, quality_metrics
-from sensorflow.schema import CODEC_BY_LAYER
+from sensorflow.schema import CODEC_BY_LAYER, RETENTION_DAYS_BY_LAYER
 
 DAY_PARTS = ("DeviceId", "year", "month", "day")
 
@@ -31,6 +31,19 @@ def write_layer(df: DataFrame, path: str, partition_by=(), kind: str = "parquet"
     writer.save(path)
 
 
+def write_by_class(routed: DataFrame, path: str, time: str = "event_time") -> None:
+    """Routed records below one directory per store, then by device and day."""
+    write_layer(with_date_parts(routed, time), path, ("storage", *DAY_PARTS))
+
+
+def retain_layer(spark: SparkSession, name: str, source: str, target: str, as_of: Column) -> None:
+    """The days of a layer that its retention keeps, in a new place. The condition is on partition columns only, so
+    expired directories are not even listed for reading."""
+    day = F.make_date("year", "month", "day")
+    kept = spark.read.parquet(source).filter(day >= F.date_sub(as_of, RETENTION_DAYS_BY_LAYER[name]))
+    write_layer(kept, target, DAY_PARTS, codec=CODEC_BY_LAYER[name])
+
+
 def write_text(df: DataFrame, path: str, column: str = "value") -> None:
     df.select(F.col(column).cast("string").alias("value")).write.text(path)
 

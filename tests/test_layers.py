@@ -99,3 +99,17 @@ def test_partition_profile(spark):
     found = stats.rows_per_partition(files.sequence(spark, 300, 6)).collect()
     assert sorted(r["rows"] for r in found) == [50] * 6
     assert stats.doubled_above(files.sequence(spark, 1000, 10)).first().n == 949
+
+
+def test_stores_and_retention_of_a_layer(spark, small):
+    readings = Tables(spark, small).readings()
+    path = work_path(spark, "stores")
+    layers.write_by_class(records.routed(readings), path)
+    quarantine = files.layer(spark, path, storage="HDFS_QUARANTINE")
+    assert quarantine.count() == records.routed(readings).filter("record_class = 'invalid'").count()
+    source, target = work_path(spark, "raw"), work_path(spark, "raw-kept")
+    layers.write_layer(layers.with_date_parts(readings), source, layers.DAY_PARTS)
+    layers.retain_layer(spark, "raw", source, target, F.lit("2024-02-09").cast("date"))
+    kept = spark.read.parquet(target)
+    assert kept.agg(F.min("day")).first()[0] == 10
+    assert kept.count() == readings.filter(F.col("event_time") >= "2024-01-10").count()
