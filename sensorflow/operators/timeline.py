@@ -111,7 +111,7 @@ def _split(placed: DataFrame, chunks: Chunks, hot: list, limit: int) -> DataFram
     )
     per_cell = per_cell.select(key, "_cell", blocks.alias("_blocks")).withColumn(
         "_heads", F.transform("_blocks", lambda b: b[0]))
-    # At most MAX_SPLITS keys in total, hence the broadcast.
+    # The sample is sized for about MAX_SPLITS keys in total, however large the table is, hence the broadcast.
     searched = placed.join(F.broadcast(per_cell), [key, "_cell"], "left")
     here = chunks.sort_key()
     block = F.size(F.filter("_heads", lambda h: h <= here))

@@ -49,8 +49,8 @@ def write_text(df: DataFrame, path: str, column: str = "value") -> None:
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """A report of a few rows as one JSON file."""
-    report.coalesce(1).write.json(path)
+    """A report of a few rows as one JSON file. The rows are moved, so the work before keeps its parallelism."""
+    report.repartition(1).write.json(path)
 
 
 @dataclass(frozen=True)

@@ -155,3 +155,7 @@ def test_kafka_source_is_declared(spark):
         topics.topic_stream(spark, "broker:9092", "readings", "earliest", 1000)
     with pytest.raises(Exception, match="(?i)kafka"):
         topics.topic_batch(spark, "broker:9092", "readings")
+    root = work_path(spark, "topic")
+    land(spark, f"{root}/in", 0, [(1, 0, 1, 1.0)])
+    with pytest.raises(Exception, match="(?i)kafka"):
+        jobs.topic(topics.to_messages(stream(spark, f"{root}/in")), "broker:9092", "processed", f"{root}/cp", None)
