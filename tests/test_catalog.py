@@ -5,8 +5,9 @@ import pytest
 
 import __spark_entry__ as registry
 import check
+from sensorflow.plans import catalog
 
-NAMES = list(registry.queries())
+NAMES = list(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
