@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorflow.llm import id_planes, tasks, token_counts, warc_bundles
+from sensorflow.llm import id_planes, near_dedup, tasks, token_counts, warc_bundles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,23 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_id_planes")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return id_planes.stored(spark, tasks.table(spark, folder, "documents"))
+
+
+@query("op3_near_dedup", """
+WITH RECURSIVE words AS (
+  SELECT doc_id, string_split_regex(trim(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13),
+    'abcdefghijklmnopqrstuvwxyz     '), ' '), ' +') AS w FROM documents),
+shingled AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words WHERE w <> ['']),
+exploded AS (SELECT doc_id, len(s) AS n, hash(unnest(s)) AS h FROM shingled),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM exploded a JOIN exploded b ON a.h = b.h AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach AS (SELECT a AS doc_id, a AS r FROM links UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.r = links.a)
+SELECT d.doc_id, coalesce(len(s), 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id,
+  d.doc_id = coalesce(c, d.doc_id) AS kept
+FROM documents d LEFT JOIN shingled USING (doc_id) LEFT JOIN (SELECT doc_id, min(r) AS c FROM reach GROUP BY 1) USING (doc_id)""")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(tasks.table(spark, folder, "documents"))

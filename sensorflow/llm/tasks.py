@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import posixpath
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -12,6 +13,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import sensorflow
 from sensorflow.session import work_path
 
 BATCH_ROWS = 1000
@@ -19,6 +21,10 @@ BATCH_ROWS = 1000
 
 def prepare(spark: SparkSession) -> None:
     """Texts are long: hand fewer rows at a time to Python than the default of 10,000."""
+    environment = spark.sparkContext.environment  # of the Python workers, which must find this package as the driver did
+    root = os.path.dirname(os.path.dirname(os.path.abspath(sensorflow.__file__)))
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), root]))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
