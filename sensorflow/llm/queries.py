@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorflow.llm import id_planes, near_dedup, tasks, token_counts, warc_bundles
+from sensorflow.llm import chunk_reuse, id_planes, near_dedup, tasks, token_counts, warc_bundles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +69,8 @@ SELECT d.doc_id, coalesce(len(s), 0) AS n_shingles, coalesce(c, d.doc_id) AS com
 FROM documents d LEFT JOIN shingled USING (doc_id) LEFT JOIN (SELECT doc_id, min(r) AS c FROM reach GROUP BY 1) USING (doc_id)""")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(tasks.table(spark, folder, "documents"))
+
+
+@query("op8_chunk_reuse")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return chunk_reuse.encode_documents(tasks.table(spark, folder, "documents"), digests=True)
