@@ -3,10 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sensorflow.llm import tasks
+from sensorflow.llm import chunk_reuse, near_dedup, quality_mil, secrets, tasks, tiling
 
-STAGES = []
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on those left and their labels, does not reject."""
+    tasks.prepare(spark)
+    model = quality_mil.train(docs, tasks.table(spark, sf_dir, "labels"))
+    return quality_mil.kept(docs, model)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest doc_id."""
+    tasks.prepare(spark)
+    kept = near_dedup.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    # Rows that repeat a doc_id are one document; rows without one cannot be told apart and stay.
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    tasks.prepare(spark)
+    return tiling.without_contaminated(docs, tasks.table(spark, sf_dir, "benchmark"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets masked and n_chars counted anew where that changed the text."""
+    tasks.prepare(spark)
+    masked = secrets.without_secrets(docs)
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, number of tokens, SHA-256 of the ids and of the decoded text, for every document left."""
+    tasks.prepare(spark)
+    return chunk_reuse.encode_documents(docs, digests=True)
+
+
+STAGES = [
+    ("quality", good_quality),
+    ("near_dedup", one_of_each),
+    ("decontamination", decontaminated),
+    ("secrets", without_secrets),
+    ("encoding", encoded),
+]
 ORACLE_SQL = None  # the stages learn, hash and tokenize; tests/llm holds them against brute force
 
 

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorflow.llm import chunk_reuse, id_planes, near_dedup, tasks, token_counts, warc_bundles
+from sensorflow.llm import (
+    chunk_reuse, id_planes, near_dedup, permutation_index, quality_mil, secrets, tasks, tiling, token_counts, url_filter,
+    warc_bundles,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,3 +77,30 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_chunk_reuse")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return chunk_reuse.encode_documents(tasks.table(spark, folder, "documents"), digests=True)
+
+
+@query("op5_quality_mil")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = tasks.table(spark, folder, "documents")
+    return quality_mil.scored(docs, quality_mil.train(docs, tasks.table(spark, folder, "labels")))
+
+
+@query("op6_string_tiling")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return tiling.contaminated(tasks.table(spark, folder, "documents"), tasks.table(spark, folder, "benchmark"))
+
+
+@query("op7_secret_scan")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.find_secrets(tasks.table(spark, folder, "documents"))
+
+
+@query("op9_url_filter")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    found = url_filter.judged(tasks.table(spark, folder, "pages"))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op10_permutation_index")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return permutation_index.search(tasks.table(spark, folder, "embeddings"))
