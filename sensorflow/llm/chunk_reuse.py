@@ -299,7 +299,9 @@ def encode_documents(docs: DataFrame, path: str | None = None, digests: bool = F
 
     schema = DIGESTS if digests else IDS
     columns = ["doc_id", "text"]
-    encoded = tasks.written(tasks.map_rows(docs, columns, "chunk binary, packed binary", owned), "chunks").dropDuplicates(["chunk"])
+    # Wholly equal rows own the same chunks. Written after that is settled, so a chunk that very many documents have is
+    # met by a plain join, which is split where it is skewed.
+    encoded = tasks.written(tasks.map_rows(docs, columns, "chunk binary, packed binary", owned).dropDuplicates(["chunk"]), "chunks")
     taken = tasks.map_rows(docs, columns, "row binary, doc_id long, number int, chunk binary", lambda: references)
     taken = taken.join(encoded, "chunk").select("row", "doc_id", "number", "packed")
     rest = tasks.map_rows(docs, columns, "row binary, doc_id long, number int, packed binary", own)
