@@ -73,8 +73,11 @@ def band(value: Column, steps: list[tuple[float, object]], below: object) -> Col
 
 
 def rounded(column: Column | str, places: int) -> Column:
-    """Half-up rounding that looks at 12 places only, so the last bits of a double do not decide a tie."""
-    return F.round(as_col(column).cast("decimal(38,12)"), places).cast("double")
+    """Half-up rounding that looks at 12 places only, so the last bits of a double do not decide a tie. NaN, infinite and
+    very large values have no such places and stay as they are."""
+    value = as_col(column)
+    fits = F.abs(value) < 1e25
+    return F.when(fits, F.round(value.try_cast("decimal(38,12)"), places).cast("double")).otherwise(value.cast("double"))
 
 
 def computed_once(df: DataFrame, columns: dict[str, Column] | Column, keep=("*",)) -> DataFrame:

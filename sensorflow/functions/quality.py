@@ -71,7 +71,7 @@ def presence_score(fields=MEASURES) -> Column:
 
 
 def nested_score(temperature, humidity, vibration) -> Column:
-    """Share of three tests: temperature present after normalisation, humidity within 20-90, vibration above zero."""
+    """Share of three tests: temperature present, humidity within 20-90, vibration above zero."""
     tests = (as_col(temperature).isNotNull(), within(humidity, (20, 90)), as_col(vibration) > 0)
     return count_true(tests) / 3.0
 

@@ -132,7 +132,9 @@ def treat_outliers(df: DataFrame, action: str, columns=MEASURES, **cut) -> DataF
     if action == "interpolate":
         # Only outliers are replaced; a value that was NULL before stays so.
         normal = df.withColumns({f"_{c}_normal": in_range_or_null(c) for c in columns})
-        filled = forward_fill(normal, [f"_{c}_normal" for c in columns], **cut)
+        # Without device or time a row has no place in an order and no value before it: its outliers become NULL.
+        placed = F.col("DeviceId").isNotNull() & F.col("event_time").isNotNull()
+        filled = forward_fill(normal.filter(placed), [f"_{c}_normal" for c in columns], **cut).unionByName(normal.filter(~placed))
         return filled.withColumns(
             {c: F.when(F.col(c).isNotNull(), F.col(f"_{c}_normal")) for c in columns}).select(*df.columns)
     raise ValueError(f"unknown action {action!r}")

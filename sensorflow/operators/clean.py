@@ -91,14 +91,13 @@ def check_thresholds(df: DataFrame, dimension: DataFrame, ids) -> DataFrame:
 
 
 def normalize_nested(df: DataFrame, min_score: float = 0.7) -> DataFrame:
-    """Nested readings: temperature outside 20-80 to NULL, score of three tests, whole-number efficiency, rows
-    under the score dropped."""
+    """Nested readings: score of three tests on the values as they came, then temperature outside 20-80 to NULL,
+    whole-number efficiency, rows under the score dropped."""
     temperature = F.col("sensors.temperature")
     kept = F.when(temperature.between(20, 80), temperature)
     scored = (
-        df.withColumn("sensors", F.col("sensors").withField("temperature", kept))
-        .withColumn("quality_score", nested_score(
-            "sensors.temperature", "sensors.humidity", "sensors.vibration"))
+        df.withColumn("quality_score", nested_score("sensors.temperature", "sensors.humidity", "sensors.vibration"))
+        .withColumn("sensors", F.col("sensors").withField("temperature", kept))
         .withColumn("efficiency", F.col("efficiency").cast("int"))
     )
     return scored.filter(F.col("quality_score") >= min_score)

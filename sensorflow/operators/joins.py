@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorflow.functions.basic import all_of
+
 BROADCAST_ROWS = 500_000
 
 
@@ -23,14 +25,20 @@ def join_derived(rows: DataFrame, table: DataFrame, on: list[str] | str, how: st
 
 
 def lost_rows(sent: DataFrame, received: DataFrame, on: list[str]) -> DataFrame:
-    """Rows sent but not received. Both sides are hashed by the whole key, which spreads a busy device."""
-    return sent.join(received.select(*on), on, "left_anti")
+    """Rows sent but not received; a NULL key is met by a NULL key. Both sides are hashed by the whole key, which spreads a
+    busy device."""
+    arrived = received.select(*(F.col(c).alias(f"_{c}") for c in on))
+    return sent.join(arrived, _same(on), "left_anti")
+
+
+def _same(on: list[str]) -> Column:
+    return all_of(F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on)
 
 
 def reconcile(sent: DataFrame, received: DataFrame, on: list[str]) -> DataFrame:
     """Per device: rows sent, rows lost and the loss in percent."""
-    marks = received.select(*on).distinct().withColumn("_arrived", F.lit(1))
-    matched = sent.join(marks, on, "left")
+    marks = received.select(*(F.col(c).alias(f"_{c}") for c in on)).distinct().withColumn("_arrived", F.lit(1))
+    matched = sent.join(marks, _same(on), "left")
     lost = F.count_if(F.col("_arrived").isNull())
     return matched.groupBy("DeviceId").agg(
         F.count("*").alias("sent"), lost.alias("lost"), (lost * 100.0 / F.count("*")).alias("loss_percent"))

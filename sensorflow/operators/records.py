@@ -16,7 +16,7 @@ from sensorflow.schema import KEYS, MEASURES, MOTORS, SENSORS, WARNING_LIMITS_76
 def transform(df: DataFrame, processed_at: Column | None = None, time: str = "time", keep=()) -> DataFrame:
     """Cleaning, status, efficiency and record quality in one projection. Quality judges the raw values, status and
     efficiency the cleaned ones."""
-    fields = [time if f == "time" else f for f in ("DeviceId", "time") + MEASURES + ("isFail",)]
+    fields = [time if f == "time" else f for f in ("time", "DeviceId") + MEASURES + ("isFail",)]
     judged = df.withColumn("_quality", record_quality(fields))
     cleaned = clean_with_marks(judged, time, keep=(*keep, "_quality"))
     return cleaned.withColumns({
@@ -63,4 +63,5 @@ def expired(df: DataFrame, as_of: Column, days: Column, time: str = "event_time"
 
 
 def retained(df: DataFrame, as_of: Column, days: Column, time: str = "event_time") -> DataFrame:
-    return df.filter(F.to_date(time) >= F.date_sub(as_of, days))
+    """Rows without a time have no age: they are kept, as nothing says that they are too old."""
+    return df.filter(F.col(time).isNull() | (F.to_date(time) >= F.date_sub(as_of, days)))

@@ -145,17 +145,12 @@ def fill_forward(chunks: Chunks, columns: Iterable[str]) -> Chunks:
     return replace(chunks, df=chunks.df.withColumns(filled).drop(*summaries))
 
 
-def running_total(chunks: Chunks, amounts: dict[str, Column], with_peers: bool = False) -> Chunks:
-    """Running sum of each amount up to and including the row, across chunks. With `with_peers`, rows of the same
-    position are included too; then a position must not be spread over two chunks."""
+def running_total(chunks: Chunks, amounts: dict[str, Column]) -> Chunks:
+    """Running sum of each amount up to and including the row, across chunks."""
     named = {f"_amount_{n}": a for n, a in amounts.items()}
     chunks = replace(chunks, df=chunks.df.withColumns(named))
     chunks = chunks.carry({f"_sofar_{n}": F.sum(f"_amount_{n}") for n in amounts}, F.sum)
-    spec = chunks.window()
-    if with_peers:
-        spec = W.partitionBy(*chunks.columns).orderBy("_pos").rangeBetween(W.unboundedPreceding, W.currentRow)
-    else:
-        spec = spec.rowsBetween(W.unboundedPreceding, W.currentRow)
+    spec = chunks.window().rowsBetween(W.unboundedPreceding, W.currentRow)
     totals = {
         n: F.coalesce(F.col(f"_sofar_{n}"), F.lit(0)) + F.coalesce(F.sum(f"_amount_{n}").over(spec), F.lit(0))
         for n in amounts

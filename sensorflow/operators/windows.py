@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.functions.basic import as_col, band, micros
 from sensorflow.operators.timeline import (
-    HOUR, chunked, fill_forward, hot_cells, previous, running_total, with_last_rows,
+    chunked, fill_forward, previous, running_total, with_last_rows,
 )
 from sensorflow.schema import IQR_FACTOR, IQR_ROWS, SENSORS
 
@@ -22,53 +22,57 @@ def forward_fill(df: DataFrame, columns=SENSORS, time: str = "event_time", **cut
     return fill_forward(chunked(df, time, **cut), columns).result()
 
 
-def rolling(df: DataFrame, value: str, seconds: float, time: str = "event_time", key: str = "DeviceId",
-            span: int = HOUR, max_rows: int = 5_000_000) -> DataFrame:
+def rolling(df: DataFrame, value: str, seconds: float, time: str = "event_time", key: str = "DeviceId") -> DataFrame:
     """Adds `n`, `total`, `mean` and `std` of `value` over the time range [t - seconds, t] of each row, per device.
 
-    A sliding frame adds up its rows again for every row, which is quadratic for a busy device. Here each reading is
-    entered at its time and taken out again just after it leaves the range, and one running total gives every range
-    in linear time. Sums run over decimals, so taking out leaves no rounding behind.
+    A sliding frame adds up its rows again for every row, which is quadratic for a busy device. Here time is cut into
+    cells as long as the range, so a range is the end of one cell and the beginning of the next. Beginnings and ends are
+    growing frames, which take each row once and only ever add, so nothing is taken out again and any double will do.
+    Each row goes to its own cell with its beginning and, one range later, to the next cell with its end; there it is the
+    nearest handed-on row at or after t that completes t. Moments are merged by the pairwise formula. Two shuffles by
+    (device, cell), one scan; a task holds no more than the rows of a device within one range. Rows without key or time
+    are left out.
     """
-    key_pos = [key, "_pos"]
+    length = int(seconds * SECOND)
     rows = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull()).withColumn("_pos", micros(time))
-    exact = F.col(value).cast("decimal(14,6)")
-    parts = {
-        "_n": F.when(exact.isNotNull(), 1).otherwise(0).cast("long"),
-        "_s": F.coalesce(exact, F.lit(0)).cast("decimal(28,6)"),
-        "_q": F.coalesce(exact * exact, F.lit(0)).cast("decimal(28,12)"),
-    }
-    hot, _ = hot_cells(rows.withColumn("_cell", F.floor(F.col("_pos") / F.lit(span))), key, max_rows)
-    if hot:
-        # Rows of one instant share their range. With a busy span they are summed up first, as an instant
-        # must not be split over chunks and could hold any number of copies.
-        instants = rows.select(*key_pos, *(c.alias(n) for n, c in parts.items())).groupBy(*key_pos).agg(
-            F.sum("_n").alias("_n"), F.sum("_s").cast("decimal(28,6)").alias("_s"),
-            F.sum("_q").cast("decimal(28,12)").alias("_q"))
-        ranged = _sweep(instants, key, seconds, span, max_rows)
-        return rows.join(ranged, key_pos, "left").drop("_pos")
-    return _sweep(rows.withColumns(parts), key, seconds, span, None).drop("_pos")
-
-
-def _sweep(rows: DataFrame, key: str, seconds: float, span: int, max_rows: int | None) -> DataFrame:
-    """Running totals over entries at `_pos` and departures one microsecond after the range is over."""
-    names = ["_n", "_s", "_q"]
-    leave = rows.select(
-        key, (F.col("_pos") + F.lit(int(seconds * SECOND) + 1)).alias("_pos"),
-        *((-F.col(n)).alias(n) for n in names), F.lit(False).alias("_enters"))
-    events = rows.withColumn("_enters", F.lit(True)).unionByName(leave, allowMissingColumns=True)
-    chunks = chunked(events, key=key, tie=None, span=span, max_rows=max_rows, position=F.col("_pos"))
-    chunks = running_total(chunks, {f"_sum{n}": F.col(n) for n in names}, with_peers=True)
-    n = F.col("_sum_n")
-    total, square = F.col("_sum_s").cast("decimal(24,6)"), F.col("_sum_q").cast("decimal(30,12)")
-    spread = (n.cast("decimal(12,0)") * square).cast("decimal(38,12)") - (total * total).cast("decimal(38,12)")
-    found = chunks.df.filter("_enters").withColumns({
-        "n": n,
-        "total": F.when(n > 0, total.cast("double")),
-        "mean": F.try_divide(total.cast("double"), n),
-        "std": F.when(n > 1, F.sqrt(F.try_divide(spread.cast("double"), n.cast("double") * (n - 1)))),
-    })
-    return found.drop("_cell", "_part", "_enters", *names, *(f"_sum{c}" for c in names))
+    rows = rows.withColumn("_cell", F.floor(F.col("_pos") / F.lit(length))).withColumn("_value", F.col(value).cast("double"))
+    cell = W.partitionBy(key, "_cell")
+    begin, end = (cell.orderBy(o).rangeBetween(W.unboundedPreceding, W.currentRow) for o in (F.asc("_pos"), F.desc("_pos")))
+    rows = rows.withColumns({"_begin": _moments("_value", begin), "_end": _moments("_value", end)})
+    # A reading from another cell only brings its end along; its own columns stay behind.
+    own = F.struct(F.col("_cell").alias("at"), F.col("_pos").alias("place"), F.lit(True).alias("own"), F.lit(None).cast(rows.schema["_end"].dataType).alias("before"))
+    handed = F.struct((F.col("_cell") + 1).alias("at"), (F.col("_pos") + length).alias("place"), F.lit(False).alias("own"), F.col("_end").alias("before"))
+    kept = F.struct(*df.columns, "_begin")
+    both = rows.select(F.col(key).alias("_key"), kept.alias("_row"), F.inline(F.array(own, handed))).withColumn(
+        "_row", F.when(F.col("own"), F.col("_row")))
+    nearest = W.partitionBy("_key", "at").orderBy(F.desc("place"), F.asc("own")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = both.withColumn("_before", F.last("before", ignorenulls=True).over(nearest)).filter("own")
+    merged = _merged(F.col("_before"), F.col("_row._begin"))
+    return found.select(merged.alias("_all"), "_row.*").withColumns({
+        "n": F.col("_all.n"), "total": F.when(F.col("_all.n") > 0, F.col("_all.total")),
+        "mean": F.try_divide("_all.total", "_all.n"),
+        "std": F.when(F.col("_all.n") > 1, F.when((F.col("_all.low") == F.col("_all.high")) & ~F.isnan("_all.low"), 0.0).otherwise(
+            F.sqrt(F.try_divide("_all.spread", F.col("_all.n") - 1)))),
+    }).drop("_all", "_begin")
+
+
+def _moments(value: str, frame) -> Column:
+    """Number, sum, sum of squared distances from the mean, least and largest, of what is not NULL."""
+    n = F.count(value).over(frame)
+    return F.struct(
+        n.alias("n"), F.coalesce(F.sum(value).over(frame), F.lit(0.0)).alias("total"),
+        F.coalesce(F.var_pop(value).over(frame) * n, F.lit(0.0)).alias("spread"),
+        F.min(value).over(frame).alias("low"), F.max(value).over(frame).alias("high"))
+
+
+def _merged(a: Column, b: Column) -> Column:
+    n_a, n_b = F.coalesce(a["n"], F.lit(0)), F.coalesce(b["n"], F.lit(0))
+    n = n_a + n_b
+    apart = F.coalesce(F.try_divide(a["total"], n_a) - F.try_divide(b["total"], n_b), F.lit(0.0))
+    spread = F.coalesce(a["spread"], F.lit(0.0)) + b["spread"] + F.coalesce(apart * apart * F.try_divide(n_a.cast("double") * n_b, n), F.lit(0.0))
+    return F.struct(
+        n.alias("n"), (F.coalesce(a["total"], F.lit(0.0)) + b["total"]).alias("total"), spread.alias("spread"),
+        F.least(a["low"], b["low"]).alias("low"), F.greatest(a["high"], b["high"]).alias("high"))
 
 
 def rolling_mean_std(df: DataFrame, value: str, seconds: float = 3600, prefix: str = "temp_1h", **cut) -> DataFrame:
@@ -121,10 +125,10 @@ def _of_sorted(values: Column, q: float) -> Column:
 
 def latest_per_device(df: DataFrame, time: str = "event_time", tie: str = "event_id",
                       key: str = "DeviceId") -> DataFrame:
-    """Newest row per device, as an aggregate: partial results leave one row per task and device."""
-    row = F.struct(*df.columns)
-    newest = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(row, F.struct(time, tie)).alias("_row"))
-    return newest.select("_row.*")
+    """Newest row per device. The rank limit is applied before the shuffle, so one row per task and device travels."""
+    newest = W.partitionBy(key).orderBy(F.desc(time), F.desc(tie))
+    ranked = df.filter(F.col(key).isNotNull()).withColumn("_rank", F.row_number().over(newest))
+    return ranked.filter("_rank = 1").drop("_rank")
 
 
 def sustained(df: DataFrame, condition: Column, seconds: float = 120, time: str = "event_time", **cut) -> DataFrame:

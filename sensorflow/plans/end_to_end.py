@@ -14,11 +14,13 @@ from sensorflow.streaming import jobs
 
 
 def live(messages: DataFrame, root: str, every: str | None = "1 minute") -> list[StreamingQuery]:
-    """Decoded readings to the four layers, and text that is no reading to the quarantine; one checkpoint each."""
+    """Decoded readings to the four layers, and text that is no reading to the quarantine; one checkpoint each. The
+    processed layer is a log by device and time: read it with `FanOut.processed().read`, fold it with `compact`."""
     decoded = topics.decode(topics.envelope(messages))
     readings = topics.well_formed(decoded)
     readings = readings.withColumn("event_time", event_time(readings, "time")).drop("time")
-    layers = jobs.each_batch(readings, FanOut(f"{root}/layers"), f"{root}/checkpoints/layers", every)
+    fan = FanOut(f"{root}/layers", keys=("DeviceId", "event_time"), order=("processed_at",))
+    layers = jobs.each_batch(readings, fan, f"{root}/checkpoints/layers", every)
     bad = topics.malformed(decoded).select(topics.CORRUPT)
     quarantine = jobs.table_layer(bad, f"{root}/quarantine", f"{root}/checkpoints/quarantine", every)
     return [layers, quarantine]

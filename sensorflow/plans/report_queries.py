@@ -153,8 +153,8 @@ def collection_rate(t: Tables) -> DataFrame:
 
 
 @query("reconcile_loss", """
-SELECT DeviceId, count(*) AS sent, count(*) FILTER (event_id % 150 = 0 OR DeviceId IS NULL) AS lost,
-  round(count(*) FILTER (event_id % 150 = 0 OR DeviceId IS NULL) * 100.0::DOUBLE / count(*), 6) AS loss_percent
+SELECT DeviceId, count(*) AS sent, count(*) FILTER (event_id % 150 IN (0, 30, 60, 90)) AS lost,
+  round(count(*) FILTER (event_id % 150 IN (0, 30, 60, 90)) * 100.0::DOUBLE / count(*), 6) AS loss_percent
 FROM readings GROUP BY 1""")
 def reconcile_loss(t: Tables) -> DataFrame:
     received = topics.well_formed(topics.decode(topics.envelope(messages(t.readings()))))
@@ -163,7 +163,7 @@ def reconcile_loss(t: Tables) -> DataFrame:
 
 
 @query("lost_readings", """
-SELECT event_id, DeviceId FROM readings WHERE event_id % 150 = 0 OR DeviceId IS NULL""")
+SELECT event_id, DeviceId FROM readings WHERE event_id % 150 IN (0, 30, 60, 90)""")
 def lost_readings(t: Tables) -> DataFrame:
     received = topics.well_formed(topics.decode(topics.envelope(messages(t.readings()))))
     received = received.select("DeviceId", F.try_to_timestamp("time").cast("timestamp_ntz").alias("event_time"))

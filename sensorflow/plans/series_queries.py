@@ -186,10 +186,10 @@ FROM (SELECT *, least(1.0::DOUBLE, sp
   FROM (SELECT event_id, sensor_status, motor_efficiency, rate, CASE sensor_status WHEN 'CRITICAL' THEN 0.4::DOUBLE
       WHEN 'HIGH_WARNING' THEN 0.3 WHEN 'WARNING' THEN 0.15 WHEN 'NORMAL' THEN 0 ELSE 0.2 END AS sp
     FROM status JOIN efficiency USING (event_id)
-    JOIN (SELECT DeviceId, avg(isFail::INT) AS rate FROM readings GROUP BY 1) USING (DeviceId)))""")
+    LEFT JOIN (SELECT DeviceId, avg(isFail::INT) AS rate FROM readings GROUP BY 1) USING (DeviceId)))""")
 def equipment_risk(t: Tables) -> DataFrame:
     readings = t.readings()
-    rated = joins.join_derived(readings, stats.failure_share(readings), "DeviceId", "inner")
+    rated = joins.join_derived(readings, stats.failure_share(readings), "DeviceId")
     risk = scoring.equipment_risk(scoring.sensor_status(), scoring.motor_efficiency(), "failure_rate")
     return rated.select("event_id", risk.alias("r")).select("event_id", "r.*")
 

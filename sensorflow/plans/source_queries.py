@@ -13,13 +13,15 @@ from sensorflow.sinks.layers import DAY_PARTS, with_date_parts, write_layer, wri
 from sensorflow.sources import files, topics
 from sensorflow.sources.tables import Tables, loose_json, loose_text, messages, nested, with_iso_time
 
-FIELDS = ("DeviceId", "event_time") + MEASURES + ("isFail",)
-_DECODED = ", ".join(f"CASE WHEN event_id % 150 <> 0 THEN {c} END AS {c}" for c in (*MEASURES, "isFail"))
+FIELDS = ("event_time", "DeviceId") + MEASURES + ("isFail",)
+_LOST = "event_id % 150 IN (0, 30, 60, 90)"  # no JSON object
+_SPOILED = {"sensor1": "event_id % 150 = 120", "motor1": "event_id % 150 IN (120, 121)"}
+_DECODED = ", ".join(f"CASE WHEN NOT ({_LOST}) AND NOT ({_SPOILED.get(c, 'false')}) THEN {c} END AS {c}" for c in (*MEASURES, "isFail"))
 
 
 @query("json_decode", f"""
-SELECT event_id, CASE WHEN event_id % 150 <> 0 THEN strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') END AS "time",
-  CASE WHEN event_id % 150 <> 0 THEN DeviceId END AS DeviceId, {_DECODED}, event_id % 150 = 0 AS malformed
+SELECT event_id, CASE WHEN NOT ({_LOST}) THEN strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') END AS "time",
+  CASE WHEN NOT ({_LOST}) THEN DeviceId END AS DeviceId, {_DECODED}, {_LOST} AS malformed
 FROM readings""")
 def json_decode(t: Tables) -> DataFrame:
     decoded = topics.decode(topics.envelope(messages(t.readings()), keep=["event_id"]), keep=["event_id"])
@@ -64,14 +66,38 @@ def bounded_read(t: Tables) -> DataFrame:
 
 
 @query("sequence_filter_count", """
-SELECT count(*) AS n FROM range((SELECT count(*) FROM events)) s(id) WHERE id * 2 > 100""")
+SELECT count(*) AS n FROM events WHERE event_id * 2 > 100""")
 def sequence_filter_count(t: Tables) -> DataFrame:
-    return stats.doubled_above(files.sequence(t.spark, t.table("events").count()))
+    return stats.doubled_above(t.table("events"), "event_id")
 
 
-@query("partition_profile")
+@query("partition_profile", "SELECT count(*) AS total_rows, true AS largest_fits, true AS all_have_rows FROM events")
 def partition_profile(t: Tables) -> DataFrame:
-    return stats.rows_per_partition(t.table("events"))
+    """What holds of the profile however Spark cuts the table."""
+    profile = stats.rows_per_partition(t.table("events"))
+    return profile.agg(
+        F.sum("rows").alias("total_rows"), (F.max("rows") <= F.sum("rows")).alias("largest_fits"), (F.min("rows") > 0).alias("all_have_rows"))
+
+
+@query("layer_newest_day", """
+SELECT DeviceId, CAST(day(event_time) AS INT) AS day, count(*) AS readings, round(avg(sensor1), 6) AS sensor1_avg FROM readings
+WHERE CAST(event_time AS DATE) = (SELECT max(CAST(event_time AS DATE)) FROM readings) GROUP BY ALL""")
+def layer_newest_day(t: Tables) -> DataFrame:
+    path = work_path(t.spark, "day-layer")
+    write_layer(with_date_parts(t.readings()), path, DAY_PARTS)
+    return files.newest_day(t.spark, path).groupBy("DeviceId", "day").agg(
+        F.count("*").alias("readings"), F.avg("sensor1").alias("sensor1_avg"))
+
+
+@query("topic_to_topic", """
+SELECT lang AS "key", '{"doc_id":' || doc_id || ',"n_chars":' || n_chars || '}' AS value FROM documents WHERE contains(text, 'thing')""")
+def topic_to_topic(t: Tables) -> DataFrame:
+    """Envelope, filter, and messages for the next topic, in one chain."""
+    sent = t.table("documents").select(
+        F.col("lang").cast("binary").alias("key"), F.col("text").cast("binary").alias("value"),
+        F.current_timestamp().alias("timestamp"), "doc_id", "n_chars")
+    found = clean.containing(topics.envelope(sent, keep=["doc_id", "n_chars"]), "thing")
+    return topics.to_messages(found, "key", ["doc_id", "n_chars"])
 
 
 # --- cleaning ------------------------------------------------------------------------------------------------
@@ -178,7 +204,7 @@ def validity(t: Tables) -> DataFrame:
 SELECT * FROM (SELECT event_id, device_id, location,
     CASE WHEN temperature BETWEEN 20 AND 80 THEN temperature END AS temperature, humidity,
     CAST(efficiency AS INT) AS efficiency,
-    round(((temperature BETWEEN 20 AND 80 AND temperature IS NOT NULL)::INT
+    round(((temperature IS NOT NULL)::INT
       + coalesce((humidity BETWEEN 20 AND 90)::INT, 0) + coalesce((vibration > 0)::INT, 0)) / 3.0::DOUBLE, 6) AS quality_score
   FROM nested) WHERE quality_score >= 0.7""")
 def nested_normalize(t: Tables) -> DataFrame:
@@ -261,11 +287,11 @@ def outlier_clip(t: Tables) -> DataFrame:
 
 def _interpolated(c: str) -> str:
     return (f"CASE WHEN {c} IS NOT NULL THEN last_value(CASE WHEN {c} {_bounds(c)} THEN {c} END IGNORE NULLS) "
-            f"OVER (PARTITION BY DeviceId ORDER BY event_time, event_id) END AS {c}")
+            f"OVER (PARTITION BY DeviceId, CASE WHEN DeviceId IS NULL THEN event_id END ORDER BY event_time, event_id) END AS {c}")
 
 
 @query("outlier_action_interpolate", f"""
-SELECT event_id, {', '.join(map(_interpolated, MEASURES))} FROM readings WHERE DeviceId IS NOT NULL""")
+SELECT event_id, {', '.join(map(_interpolated, MEASURES))} FROM readings""")
 def outlier_interpolate(t: Tables) -> DataFrame:
     return anomaly.treat_outliers(t.readings(), "interpolate").select("event_id", *MEASURES)
 

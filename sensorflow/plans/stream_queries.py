@@ -111,7 +111,9 @@ def finished(t: Tables, df: DataFrame, name: str) -> DataFrame:
 @query("stream_enrich", """
 SELECT event_id, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') AS "time", DeviceId, sensor1, sensor2, sensor3, motor1, motor2,
   motor3, isFail, CASE WHEN sensor1 BETWEEN 0 AND 100 AND sensor2 BETWEEN 0 AND 100 AND sensor3 BETWEEN 0 AND 150
-    THEN 1.0::DOUBLE ELSE 0.0 END AS quality_score FROM readings WHERE event_id % 150 <> 0""")
+    THEN 1.0::DOUBLE ELSE 0.0 END AS quality_score
+FROM (SELECT * REPLACE (CASE WHEN event_id % 150 <> 120 THEN sensor1 END AS sensor1,
+    CASE WHEN event_id % 150 NOT IN (120, 121) THEN motor1 END AS motor1) FROM readings) WHERE event_id % 150 NOT IN (0, 30, 60, 90)""")
 def stream_enrich(t: Tables) -> DataFrame:
     return finished(t, jobs.scored(messages(live(t)), keep=["event_id"]), "enrich").drop("processed_at")
 
@@ -137,7 +139,8 @@ def stream_keyword(t: Tables) -> DataFrame:
 
 
 @query("malformed_quarantine", """
-SELECT event_id, CASE WHEN event_id % 150 = 0 THEN 'not json' END AS payload, event_id % 150 = 0 AS quarantined FROM readings""")
+SELECT event_id, CASE event_id % 150 WHEN 0 THEN 'not json' WHEN 30 THEN '' WHEN 60 THEN '' WHEN 90 THEN '[1, 2]' END AS payload,
+  event_id % 150 IN (0, 30, 60, 90) AS quarantined FROM readings""")
 def malformed_quarantine(t: Tables) -> DataFrame:
     decoded = topics.decode(topics.envelope(messages(live(t)), keep=["event_id"]), keep=["event_id"])
     bad = finished(t, topics.malformed(decoded), "quarantine")
@@ -238,7 +241,7 @@ def stream_silence(t: Tables) -> DataFrame:
 
 
 @query("stream_batch_parity", """
-SELECT DeviceId, count(*) AS streamed, count(*) AS batched, true AS same FROM readings WHERE event_id % 150 <> 0 GROUP BY 1""")
+SELECT DeviceId, count(*) AS streamed, count(*) AS batched, true AS same FROM readings WHERE event_id % 150 NOT IN (0, 30, 60, 90) GROUP BY 1""")
 def stream_batch_parity(t: Tables) -> DataFrame:
     """The same scoring on the stream and on the table; rows are compared as checksums per device."""
     columns = ["DeviceId", "time", "sensor1", "sensor2", "sensor3", "motor1", "motor2", "motor3", "isFail", "quality_score"]
@@ -254,14 +257,36 @@ def stream_batch_parity(t: Tables) -> DataFrame:
     return both.select("DeviceId", "streamed", "batched", same.alias("same"))
 
 
-@query("stream_progress")
+@query("stream_progress", """
+SELECT CAST(count(*) AS BIGINT) AS input_rows, round(avg(CASE WHEN sensor1 BETWEEN 0 AND 100 AND sensor2 BETWEEN 0 AND 100
+  AND sensor3 BETWEEN 0 AND 150 THEN 0.0::DOUBLE ELSE 1.0 END), 6) AS error_share, true AS timed FROM readings""")
 def stream_progress(t: Tables) -> DataFrame:
-    """Rate, delay and error share per micro-batch, from the query's own progress reports."""
+    """Rows and error share over all micro-batches, from the reports that a listener wrote down."""
     root = work_path(t.spark, "progress")
-    error = range_score() == 0
-    stream = jobs.observed(live(t), error)
-    run = jobs.to_end(jobs.table_layer(stream, f"{root}/out", f"{root}/checkpoint"))
-    return t.spark.createDataFrame(jobs.progress_rows(run), jobs.PROGRESS_SCHEMA)
+    stream = jobs.observed(live(t), range_score() == 0)
+    with jobs.ProgressTable(t.spark, f"{root}/progress") as reports:
+        jobs.to_end(jobs.table_layer(stream, f"{root}/out", f"{root}/checkpoint"))
+    rows = F.sum("input_rows")
+    return reports.read().filter("input_rows > 0").agg(
+        rows.alias("input_rows"), (F.sum(F.col("error_share") * F.col("input_rows")) / rows).alias("error_share"),
+        F.coalesce(F.min("duration_ms") >= 0, F.lit(False)).alias("timed"))
+
+
+@query("stream_two_checkpoints", """
+SELECT 'raw' AS layer, count(*) * 2 AS readings FROM readings UNION ALL
+SELECT 'processed', count(*) FROM (SELECT DISTINCT DeviceId, event_id FROM readings WHERE DeviceId IS NOT NULL) UNION ALL
+SELECT 'compacted', count(*) FROM (SELECT DISTINCT DeviceId, event_id FROM readings WHERE DeviceId IS NOT NULL)""")
+def stream_two_checkpoints(t: Tables) -> DataFrame:
+    """The same readings by two queries with checkpoints of their own, the first started twice, into one set of layers."""
+    root = work_path(t.spark, "two-runs")
+    fan = layers.FanOut(f"{root}/layers", keys=("DeviceId", "event_id"), order=("event_time",))
+    for name in ("a", "a", "b"):
+        jobs.to_end(jobs.each_batch(live(t), fan, f"{root}/checkpoint-{name}", every=None))
+    log = fan.processed()
+    folded = log.compact(t.spark, f"{root}/compacted")
+    tables = {"raw": t.spark.read.parquet(fan.path("raw")), "processed": log.read(t.spark), "compacted": folded.read(t.spark)}
+    found = [df.agg(F.count("*").alias("readings")).select(F.lit(n).alias("layer"), "readings") for n, df in tables.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @query("live_throughput", """

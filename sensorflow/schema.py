@@ -45,7 +45,7 @@ THRESHOLD = T.StructType([
 SENSORS = ("sensor1", "sensor2", "sensor3")
 MOTORS = ("motor1", "motor2", "motor3")
 MEASURES = SENSORS + MOTORS
-REQUIRED = ("DeviceId", "time") + MEASURES + ("isFail",)
+REQUIRED = ("time", "DeviceId") + MEASURES + ("isFail",)
 KEYS = ("DeviceId", "time")
 
 # --- fixed values: must equal the rule book for right results ---------------------------------

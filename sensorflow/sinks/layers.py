@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorflow.functions.features import date_parts
@@ -37,10 +37,10 @@ def write_by_class(routed: DataFrame, path: str, time: str = "event_time") -> No
 
 
 def retain_layer(spark: SparkSession, name: str, source: str, target: str, as_of: Column) -> None:
-    """The days of a layer that its retention keeps, in a new place. The condition is on partition columns only, so
-    expired directories are not even listed for reading."""
+    """The days of a layer that its retention keeps, and its rows without a day, in a new place. The condition is on
+    partition columns only, so expired directories are not even listed for reading."""
     day = F.make_date("year", "month", "day")
-    kept = spark.read.parquet(source).filter(day >= F.date_sub(as_of, RETENTION_DAYS_BY_LAYER[name]))
+    kept = spark.read.parquet(source).filter(day.isNull() | (day >= F.date_sub(as_of, RETENTION_DAYS_BY_LAYER[name])))
     write_layer(kept, target, DAY_PARTS, codec=CODEC_BY_LAYER[name])
 
 
@@ -53,32 +53,45 @@ def write_report(report: DataFrame, path: str) -> None:
     report.repartition(1).write.json(path)
 
 
+def batch_path(root: str, run: str, batch_id: int) -> str:
+    return f"{root}/run={run}/batch={batch_id}"
+
+
 @dataclass(frozen=True)
 class FanOut:
     """Writes a micro-batch to the raw, processed, alert and quality layers.
 
-    Each layer has a directory per batch that is overwritten as a whole, so a batch that is run again after a
-    failure replaces itself and nothing is written twice.
+    Each layer has a directory for each run (the id in the checkpoint) and batch that is overwritten as a whole: a batch
+    that is run again after a failure replaces itself, and a query with a new checkpoint, which counts its batches from 0
+    again, replaces nothing. With `keys` the processed layer is an upsert log: the newest row of each key, by `order`.
     """
 
     root: str
     time: str = "event_time"
+    keys: tuple[str, ...] = ()
+    order: tuple[str, ...] = ()
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+    def __call__(self, batch: DataFrame, batch_id: int, run: str = "0") -> None:
         batch = batch.persist()
         try:
-            raw = with_date_parts(batch, self.time)
-            processed = process(batch, time=self.time).persist()
-            self._write(raw, "raw", batch_id, DAY_PARTS)
-            self._write(processed, "processed", batch_id, ("DeviceId",))
-            self._write(alerts(processed), "alerts", batch_id, (), "json")
-            self._write(quality_metrics(processed), "quality", batch_id, ())
-            processed.unpersist()
+            # One cached table: raw columns as they came, and what processing adds beside them.
+            processed = process(batch, time=self.time)
+            self._write(with_date_parts(batch, self.time), "raw", batch_id, run, DAY_PARTS)
+            if self.keys:
+                self.processed()(processed, batch_id, run)
+            else:
+                self._write(processed, "processed", batch_id, run, ("DeviceId",))
+            self._write(alerts(processed), "alerts", batch_id, run, (), "json")
+            self._write(quality_metrics(processed), "quality", batch_id, run, ())
         finally:
             batch.unpersist()
 
-    def _write(self, df: DataFrame, name: str, batch_id: int, partition_by, kind: str = "parquet") -> None:
-        write_layer(df, f"{self.path(name)}/batch={batch_id}", partition_by, kind, CODEC_BY_LAYER.get(name), "overwrite")
+    def processed(self) -> UpsertLog:
+        """The keyed processed layer; one directory per device inside each batch."""
+        return UpsertLog(self.path("processed"), self.keys, self.order or (self.time,), ("DeviceId",))
+
+    def _write(self, df: DataFrame, name: str, batch_id: int, run: str, partition_by, kind: str = "parquet") -> None:
+        write_layer(df, batch_path(self.path(name), run, batch_id), partition_by, kind, CODEC_BY_LAYER.get(name), "overwrite")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -98,20 +111,21 @@ class UpsertLog:
     order: tuple[str, ...]
     partition_by: tuple[str, ...] = ()
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        write_layer(self.newest(batch), f"{self.path}/batch={batch_id}", self.partition_by, mode="overwrite")
+    def __call__(self, batch: DataFrame, batch_id: int, run: str = "0") -> None:
+        write_layer(self.newest(batch), batch_path(self.path, run, batch_id), self.partition_by, mode="overwrite")
 
     def newest(self, df: DataFrame) -> DataFrame:
-        """Newest row per key, as an aggregate with a map-side part: copies of one key shrink before the shuffle."""
-        row = F.struct(*df.columns)
-        return df.groupBy(*self.keys).agg(F.max_by(row, F.struct(*self.order)).alias("_row")).select("_row.*")
+        """Newest row per key. The rank limit is applied before the shuffle: copies of one key shrink to one per task."""
+        newest = Window.partitionBy(*self.keys).orderBy(*(F.desc(c) for c in self.order))
+        return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self.newest(spark.read.parquet(self.path).drop("batch"))
+        return self.newest(spark.read.parquet(self.path).drop("run", "batch"))
 
     def compact(self, spark: SparkSession, target: str) -> UpsertLog:
-        """Writes the current state as the first batch of a new log; batch ids of the old one stay above it."""
-        write_layer(self.read(spark), f"{target}/batch=-1", self.partition_by)
+        """Writes the current state as one batch of a new log, under a run of its own. Streams go on with the new log; what
+        it holds is then read at the cost of the keys, not of their history."""
+        write_layer(self.read(spark), batch_path(target, "compacted", 0), self.partition_by)
         return UpsertLog(target, self.keys, self.order, self.partition_by)
 
 

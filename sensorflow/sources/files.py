@@ -34,6 +34,14 @@ def layer(spark: SparkSession, path: str, *conditions: Column, **partition) -> D
     return df
 
 
+def newest_day(spark: SparkSession, path: str) -> DataFrame:
+    """The newest day of a layer by year, month and day. The day is found among the directory values alone, and the filter
+    on it leaves only that day's directories to read."""
+    days = spark.read.parquet(path)
+    last = days.select("year", "month", "day").distinct().orderBy(F.desc("year"), F.desc("month"), F.desc("day")).first()
+    return days.filter("false") if last is None else layer(spark, path, year=last.year, month=last.month, day=last.day)
+
+
 def sequence(spark: SparkSession, n: int, partitions: int | None = None) -> DataFrame:
     return spark.range(0, n, 1, partitions) if partitions else spark.range(n)
 

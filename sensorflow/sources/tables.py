@@ -79,14 +79,19 @@ def nested(df: DataFrame) -> DataFrame:
 
 
 def messages(df: DataFrame) -> DataFrame:
-    """Readings as topic messages; every 150th payload is broken."""
-    payload = F.to_json(F.struct(
-        F.date_format("event_time", ISO).alias("time"), "DeviceId", *MEASURES, "isFail",
-        F.col("event_id").alias("test_id")))
-    broken = F.col("event_id") % 150 == 0
+    """Readings as topic messages. By number modulo 150: 0, 30, 60 and 90 are no JSON object (other text, empty, missing,
+    an array); 120 has text for a sensor and a speed too large for an integer; 121 has a speed that is no number."""
+    usual = [F.date_format("event_time", ISO).alias("time"), "DeviceId", *MEASURES, "isFail", F.col("event_id").alias("test_id")]
+    payload = F.to_json(F.struct(*usual))
+    kind = F.col("event_id") % 150
+    odd = F.to_json(F.struct(usual[0], "DeviceId", F.lit("hot").alias("sensor1"), "sensor2", "sensor3", F.lit(1e12).alias("motor1"),
+                             "motor2", "motor3", "isFail"))
+    payload = (
+        F.when(kind == 0, "not json").when(kind == 30, "").when(kind == 60, None).when(kind == 90, "[1, 2]").when(kind == 120, odd)
+        .when(kind == 121, F.concat(F.lit('{"motor1": NaN, '), F.substring(F.regexp_replace(payload, '"motor1":[^,]*,', ""), 2, 10_000)))
+        .otherwise(payload))
     return df.select(
-        "event_id", F.col("DeviceId").cast("string").cast("binary").alias("key"),
-        F.when(broken, "not json").otherwise(payload).cast("binary").alias("value"),
+        "event_id", F.col("DeviceId").cast("string").cast("binary").alias("key"), payload.cast("binary").alias("value"),
         F.col("event_time").cast("timestamp").alias("timestamp"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from sensorflow.functions.basic import computed_once
 from sensorflow.functions.cleaning import sentinel_to_null
@@ -43,12 +43,15 @@ def envelope(df: DataFrame, keep=()) -> DataFrame:
 
 
 def decode(df: DataFrame, schema: StructType = READING, keep=()) -> DataFrame:
-    """JSON payloads to columns. Unknown fields are dropped, a wrong-typed field is NULL, text that is no JSON
-    is kept whole in `_corrupt`."""
-    tolerant = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    parsed = F.from_json(F.col("value").cast("string"), tolerant, {"columnNameOfCorruptRecord": CORRUPT})
-    flat = computed_once(df, parsed, keep)
-    return flat.withColumns({m: F.round(m).cast("int") for m in MOTORS if m in schema.names})
+    """JSON payloads to columns. Unknown fields are dropped; a field of the wrong type, or a motor speed that is no
+    whole number of 32 bits, is NULL and the rest of the record stands. What is no JSON object at all (other text, other
+    JSON, an empty or missing payload) is kept as text in `_corrupt`, a missing one as empty text."""
+    text = F.col("value").cast("string")
+    fields = F.from_json(text, schema)
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
+    bad = F.when(~is_object, F.coalesce(text, F.lit("")))
+    flat = computed_once(df, F.struct(*(fields[f].alias(f) for f in schema.names), bad.alias(CORRUPT)), keep)
+    return flat.withColumns({m: F.round(m).try_cast("int") for m in MOTORS if m in schema.names})
 
 
 def well_formed(decoded: DataFrame) -> DataFrame:

@@ -104,10 +104,20 @@ def topic(df: DataFrame, servers: str, name: str, checkpoint: str, every: str |
     return writer.option("topic", name).start()
 
 
-def each_batch(df: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
+def each_batch(df: DataFrame, handler: Callable[[DataFrame, int, str], None], checkpoint: str,
                every: str | None = TRIGGER_BY_SINK["processed"], mode: str = "append") -> StreamingQuery:
-    """Runs a handler (`FanOut`, `UpsertLog`) on every micro-batch; this is also where update mode belongs."""
-    return _writer(df, checkpoint, every, mode).foreachBatch(handler).start()
+    """Runs a handler (`FanOut`, `UpsertLog`) on every micro-batch; this is also where update mode belongs.
+
+    The handler is told the id of the query. It is kept in the checkpoint: the same after a restart, another for a new
+    checkpoint."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        handler(batch, batch_id, run_id(batch.sparkSession, checkpoint))
+
+    return _writer(df, checkpoint, every, mode).foreachBatch(handle).start()
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
 
 
 def to_end(query: StreamingQuery) -> StreamingQuery:
@@ -139,9 +149,37 @@ def _progress_row(progress) -> tuple:
         float(progress.batchDuration or 0.0), seen["error_share"] if seen else None)
 
 
-def progress_rows(query: StreamingQuery) -> list[tuple]:
-    """The recent reports of a query; Spark keeps the last hundred."""
-    return [_progress_row(p) for p in query.recentProgress]
+class ProgressTable:
+    """Reports of one query, appended to a table as they come, so that none is lost however long it runs. Spark itself
+    keeps the last hundred. `every` reports are written at a time; `close` writes the rest."""
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 100):
+        self.spark, self.path, self.every = spark, path, every
+        self.waiting: list[tuple] = []
+        self.listener = ProgressListener(self)
+
+    def __call__(self, row: tuple) -> None:
+        self.waiting.append(row)
+        if len(self.waiting) >= self.every:
+            self.flush()
+
+    def flush(self) -> None:
+        rows, self.waiting = self.waiting, []
+        if rows:
+            self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def __enter__(self) -> ProgressTable:
+        self.spark.streams.addListener(self.listener)
+        return self
+
+    def __exit__(self, *_) -> None:
+        """Reports come on a thread of their own: those of finished batches are waited for."""
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        self.spark.streams.removeListener(self.listener)
+        self.flush()
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
 
 
 class ProgressListener(StreamingQueryListener):

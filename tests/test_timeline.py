@@ -9,7 +9,7 @@ from sensorflow.operators import timeline, windows
 from sensorflow.operators.quantiles import percentile
 
 CUTS = [
-    {"span": windows.HOUR // 2, "max_rows": 1_000_000},
+    {"span": timeline.HOUR // 2, "max_rows": 1_000_000},
     {"span": 60 * windows.SECOND, "max_rows": 25},
     {"span": 10**15, "max_rows": 10},
 ]
@@ -69,22 +69,43 @@ def test_previous(rows, cut):
     same(found.select("event_id", "before"), plain.select("event_id", "before"))
 
 
-@pytest.mark.parametrize("cut", CUTS)
-def test_rolling(rows, cut):
+def test_rolling(rows):
     frame = W.partitionBy("DeviceId").orderBy(F.unix_micros("event_time")).rangeBetween(-1800 * 10**6, 0)
     plain = rows.select(
         "event_id", F.count("x").over(frame).alias("n"), rounded(F.avg("x").over(frame), 6).alias("mean"),
         rounded(F.stddev_samp("x").over(frame), 6).alias("std"))
-    found = windows.rolling(rows, "x", 1800, **cut)
+    found = windows.rolling(rows, "x", 1800)
     same(found.select("event_id", "n", rounded("mean", 6).alias("mean"), rounded("std", 6).alias("std")), plain)
 
 
-def test_rolling_of_constant_values_has_no_spread(spark):
+@pytest.mark.parametrize("x", ["0.123457D", "2.5e8D", "1e-9D", "77.7D"])
+def test_rolling_of_constant_values_has_no_spread(spark, x):
     df = spark.range(500).select(
-        F.col("id").alias("event_id"), F.lit(1).alias("DeviceId"), F.lit(77.7).alias("x"),
+        F.col("id").alias("event_id"), F.lit(1).alias("DeviceId"), F.expr(x).alias("x"),
         F.timestamp_seconds(F.col("id") * 10).alias("event_time"))
     row = windows.rolling(df, "x", 300).filter("event_id > 0").agg(F.max("std"), F.min("mean"), F.max("mean")).first()
-    assert row[0] == 0.0 and tuple(row)[1:] == pytest.approx((77.7, 77.7))
+    assert row[0] == 0.0 and tuple(row)[1:] == pytest.approx((float(x[:-1]),) * 2)
+
+
+@pytest.mark.parametrize("x", ["0.5 + (id % 2) * 2e-5", "id / 7D * 1e8", "CASE WHEN id % 3 = 0 THEN NULL ELSE sin(id) * 1e-7 END"])
+def test_rolling_of_any_doubles(spark, x):
+    """Also several readings of one instant, and ranges that end just at a reading."""
+    df = spark.range(2000).select(
+        F.col("id").alias("event_id"), (F.col("id") % 3).alias("DeviceId"), F.expr(x).alias("x"),
+        F.timestamp_seconds(F.floor(F.col("id") / 5) * 20).alias("event_time"))
+    frame = W.partitionBy("DeviceId").orderBy(F.unix_micros("event_time")).rangeBetween(-300 * 10**6, 0)
+    plain = df.select("event_id", F.count("x").over(frame).alias("n"), F.avg("x").over(frame).alias("mean"),
+                      F.stddev_samp("x").over(frame).alias("std"))
+    found = {r.event_id: r for r in windows.rolling(df, "x", 300).collect()}
+    for r in plain.collect():
+        assert found[r.event_id].n == r.n
+        assert found[r.event_id].mean == (r.mean if r.mean is None else pytest.approx(r.mean, rel=1e-9))
+        assert found[r.event_id].std == (r.std if r.std is None else pytest.approx(r.std, rel=1e-9))
+
+
+def test_rolling_reads_once(rows):
+    plan = windows.rolling(rows, "x", 1800)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ") == rows._jdf.queryExecution().executedPlan().toString().count("Scan ")
 
 
 @pytest.mark.parametrize("cut", CUTS)
