@@ -44,6 +44,11 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return mixed((rows * _ROW_FACTORS).sum(axis=1, dtype=np.uint64) + _BAND_OFFSETS).view(np.int64)
 
 
+def fewest_equal(similarity: float, deviations: float = 6.5) -> int:
+    """Equal registers that a pair of that similarity or more has but once in ten billion. Equal low bytes are no fewer."""
+    return int(REGISTERS * similarity - deviations * (REGISTERS * similarity * (1 - similarity)) ** 0.5)
+
+
 _GRID = 200
 
 
