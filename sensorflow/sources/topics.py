@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sensorflow.functions.basic import computed_once
+from sensorflow.functions.basic import any_of, computed_once
 from sensorflow.functions.cleaning import sentinel_to_null
 from sensorflow.schema import MOTORS, READING
 
@@ -49,7 +49,9 @@ def decode(df: DataFrame, schema: StructType = READING, keep=()) -> DataFrame:
     text = F.col("value").cast("string")
     fields = F.from_json(text, schema)
     is_object = F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
-    bad = F.when(~is_object, F.coalesce(text, F.lit("")))
+    # NaN is no strict JSON, but the fields beside it can be read.
+    readable = any_of(fields[f].isNotNull() for f in schema.names)
+    bad = F.when(~(is_object | readable), F.coalesce(text, F.lit("")))
     flat = computed_once(df, F.struct(*(fields[f].alias(f) for f in schema.names), bad.alias(CORRUPT)), keep)
     return flat.withColumns({m: F.round(m).try_cast("int") for m in MOTORS if m in schema.names})
 
