@@ -53,17 +53,47 @@ def _risk() -> str:
     return f"named_struct('risk_level', {level}, 'risk_score', {score}, 'risk_factors', {reasons})"
 
 
+def _equipment_status() -> str:
+    return (
+        "CASE WHEN temperature > 70 OR vibration > 2.5D OR efficiency < 60 THEN 'CRITICAL' WHEN temperature > 60 OR vibration > 2D OR "
+        "efficiency < 70 THEN 'WARNING' WHEN temperature > 50 OR vibration > 1.5D OR efficiency < 80 THEN 'CAUTION' ELSE 'NORMAL' END")
+
+
+def _anomaly_score() -> str:
+    known = "temperature IS NOT NULL AND humidity IS NOT NULL AND vibration IS NOT NULL AND efficiency IS NOT NULL"
+    return (
+        f"CASE WHEN {known} THEN abs(temperature - 50) / 30 + abs(humidity - 60) / 40 + greatest(0D, vibration - 1) / 2 "
+        "+ greatest(0D, 85 - efficiency) / 30 END")
+
+
+def _maintenance() -> str:
+    known = "temperature IS NOT NULL AND vibration IS NOT NULL AND efficiency IS NOT NULL"
+    score = "(least(temperature / 80, 1D) * 0.3D + least(vibration / 3, 1D) * 0.4D + greatest(0D, (90 - efficiency) / 30) * 0.3D)"
+    level = f"CASE WHEN {score} > 0.8D THEN 'HIGH' WHEN {score} > 0.6D THEN 'MEDIUM' WHEN {score} > 0.4D THEN 'LOW' ELSE 'NORMAL' END"
+    action = (
+        f"CASE WHEN {score} > 0.8D THEN 'IMMEDIATE_MAINTENANCE' WHEN {score} > 0.6D THEN 'SCHEDULE_MAINTENANCE' "
+        f"WHEN {score} > 0.4D THEN 'MONITOR_CLOSELY' ELSE 'ROUTINE_CHECK' END")
+    return f"CASE WHEN {known} THEN named_struct('maintenance_score', {score}, 'risk_level', {level}, 'recommended_action', {action}) END"
+
+
 RISK = "STRUCT<risk_level: STRING, risk_score: DOUBLE, risk_factors: ARRAY<STRING>>"
+NEED = "STRUCT<maintenance_score: DOUBLE, risk_level: STRING, recommended_action: STRING>"
 
 
 def register_functions(spark: SparkSession) -> None:
+    """The functions under the names and with the arguments that existing SQL calls them by. The risk takes the device and
+    an outlier score as well, the maintenance need the hours of operation; neither enters the result."""
     sensors = "sensor1 DOUBLE, sensor2 DOUBLE, sensor3 DOUBLE"
     motors = "motor1 DOUBLE, motor2 DOUBLE, motor3 DOUBLE, sensor1 DOUBLE, sensor2 DOUBLE"
+    nested = "temperature DOUBLE, humidity DOUBLE, vibration DOUBLE, efficiency DOUBLE"
     for name, arguments, result, body in (
-        ("sensor_status", sensors, "STRING", _status()),
-        ("motor_efficiency", motors, "DOUBLE", _efficiency()),
-        ("range_score", sensors, "DOUBLE", _range_score()),
-        ("outlier_score", "sensor1_z DOUBLE, sensor2_z DOUBLE, sensor3_z DOUBLE", "DOUBLE", _outlier_score()),
-        ("equipment_risk", "status STRING, efficiency DOUBLE, failure_rate DOUBLE", RISK, _risk()),
+        ("classify_sensor_status", sensors, "STRING", _status()),
+        ("calculate_motor_efficiency", motors, "DOUBLE", _efficiency()),
+        ("calculate_quality_score", sensors, "DOUBLE", _range_score()),
+        ("calculate_outlier_score", "sensor1_z DOUBLE, sensor2_z DOUBLE, sensor3_z DOUBLE", "DOUBLE", _outlier_score()),
+        ("assess_equipment_risk", "device BIGINT, status STRING, efficiency DOUBLE, failure_rate DOUBLE, outlier_score DOUBLE", RISK, _risk()),
+        ("classify_equipment_status", "temperature DOUBLE, vibration DOUBLE, efficiency DOUBLE", "STRING", _equipment_status()),
+        ("calculate_anomaly_score", nested, "DOUBLE", _anomaly_score()),
+        ("predict_maintenance_need", "temperature DOUBLE, vibration DOUBLE, efficiency DOUBLE, hours DOUBLE", NEED, _maintenance()),
     ):
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS {result} RETURN {body}")

@@ -1,41 +1,48 @@
-"""Exact percentiles per device without a device in one task.
+"""Exact percentiles per device: a sketch says where to look, and only what lies there is ranked.
 
-Equal values are counted first (map-side, so a task sends each value of a device once), then ranks are running totals
-of these counts in value order, cut into chunks like a time line. An exact percentile aggregate or a sketch would merge
-the state of all map tasks in one task per device.
+A mergeable sketch per device and column brackets the wanted rank between two values. Values below the bracket are counted,
+values inside it are counted by value, both map-side, so of all-different doubles no more than the few in the bracket are
+shuffled. Ranks are running totals over the distinct values inside.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorflow.operators.joins import join_derived
-from sensorflow.operators.timeline import chunked, running_total
 
-MICRO = 1_000_000
+ACCURACY = 10_000
+SLACK = 5  # ranks looked at on either side, in units of the sketch's error
 
 
 def percentile(df: DataFrame, columns, q: float, key: str | None = None, interpolate: bool = False,
-               suffix: str = "", **cut) -> DataFrame:
+               suffix: str = "", accuracy: int = ACCURACY) -> DataFrame:
     """One row per key with the percentile of every column under its own name plus `suffix`. The result is a value
-    that occurs, or with `interpolate` the inclusive percentile between its two neighbours. NULLs do not count."""
+    that occurs, or with `interpolate` the inclusive percentile between its two neighbours. NULL and NaN do not count.
+    `accuracy` sets the size of the sketch and of the bracket, not the result."""
     columns, keys = list(columns), [key] if key else []
     items = [F.struct(F.lit(c).alias("_name"), F.col(c).cast("double").alias("_value")) for c in columns]
-    counts = (
-        df.select(*keys, F.inline(F.array(*items))).filter(F.col("_value").isNotNull())
-        .groupBy(*keys, "_name", "_value").agg(F.count("*").alias("_count"))
-        .withColumn("_series", F.struct(*keys, "_name")).persist()
-    )
-    totals = counts.groupBy("_series").agg(F.sum("_count").alias("_total"))
+    values = df.select(*keys, F.inline(F.array(*items))).filter(F.col("_value").isNotNull() & ~F.isnan("_value"))
+    series = [*keys, "_name"]
+    reach = SLACK / accuracy
+    ends = F.percentile_approx("_value", [max(0.0, q - reach), min(1.0, q + reach)], accuracy)
+    brackets = values.groupBy(*series).agg(
+        F.count("*").alias("_total"), ends.alias("_ends"), F.min("_value").alias("_low"), F.max("_value").alias("_high"))
+    many = F.col("_total") > accuracy  # else the bracket is narrower than a rank, and there is little to rank
     place = (F.col("_total") - 1) * q + 1 if interpolate else F.greatest(F.ceil(F.col("_total") * q), F.lit(1))
-    totals = totals.withColumn("_place", place.cast("double"))
-    chunks = chunked(counts, key="_series", tie="_value", span=MICRO, position=F.floor(F.col("_value") * MICRO), **cut)
-    ranked = join_derived(running_total(chunks, {"_upto": F.col("_count")}).df, totals, "_series", "inner")
-    around = ranked.filter(
+    brackets = brackets.select(*series, place.cast("double").alias("_place"),
+        F.when(many, F.col("_ends")[0]).otherwise(F.col("_low")).alias("_low"),
+        F.when(many, F.col("_ends")[1]).otherwise(F.col("_high")).alias("_high"))
+    near = join_derived(values, brackets, series, "inner").filter(F.col("_value") <= F.col("_high"))
+    counts = near.groupBy(*series, F.when(F.col("_value") >= F.col("_low"), F.col("_value")).alias("_inside")).agg(
+        F.count("*").alias("_count"), F.max("_place").alias("_place"))
+    upto = F.sum("_count").over(W.partitionBy(*series).orderBy(F.asc_nulls_first("_inside")))
+    around = counts.withColumn("_upto", upto).filter(
         (F.col("_upto") >= F.floor("_place")) & (F.col("_upto") - F.col("_count") < F.ceil("_place")))
-    low, high = F.min("_value"), F.max("_value")
+    low, high = F.min("_inside"), F.max("_inside")
     part = F.max(F.col("_place") - F.floor("_place"))
-    found = around.groupBy(*keys, "_name").agg((low + part * (high - low)).alias("_found"))
+    found = around.groupBy(*series).agg((low + part * (high - low)).alias("_found"))
     return found.groupBy(*keys).agg(
         *(F.max(F.when(F.col("_name") == c, F.col("_found"))).alias(c + suffix) for c in columns))

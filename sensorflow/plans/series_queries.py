@@ -328,11 +328,12 @@ def sql_functions(t: Tables) -> DataFrame:
     register_functions(t.spark)
     register_views(sensor_readings=t.readings())
     return t.spark.sql("""
-        SELECT DeviceId, sensor_status(sensor1, sensor2, sensor3) AS sensor_status, count(*) AS readings,
-          avg(motor_efficiency(motor1, motor2, motor3, sensor1, sensor2)) AS mean_efficiency,
-          sum(range_score(sensor1, sensor2, sensor3)) AS in_range,
-          count_if(equipment_risk(
-            sensor_status(sensor1, sensor2, sensor3), motor_efficiency(motor1, motor2, motor3, sensor1, sensor2), 0D
+        SELECT DeviceId, classify_sensor_status(sensor1, sensor2, sensor3) AS sensor_status, count(*) AS readings,
+          avg(calculate_motor_efficiency(motor1, motor2, motor3, sensor1, sensor2)) AS mean_efficiency,
+          sum(calculate_quality_score(sensor1, sensor2, sensor3)) AS in_range,
+          count_if(assess_equipment_risk(
+            DeviceId, classify_sensor_status(sensor1, sensor2, sensor3),
+            calculate_motor_efficiency(motor1, motor2, motor3, sensor1, sensor2), 0D, 0D
           ).risk_level IN ('MEDIUM', 'HIGH', 'CRITICAL')) AS at_risk
         FROM sensor_readings GROUP BY 1, 2""")
 

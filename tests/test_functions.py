@@ -179,14 +179,27 @@ def test_sql_functions_agree(spark):
     for record, *_ in GOLDEN:
         df = df.union(reading(spark, *record))
     both = df.select(
-        scoring.sensor_status().alias("a"), F.expr("sensor_status(sensor1, sensor2, sensor3)").alias("b"),
+        scoring.sensor_status().alias("a"), F.expr("classify_sensor_status(sensor1, sensor2, sensor3)").alias("b"),
         scoring.motor_efficiency().alias("c"),
-        F.expr("motor_efficiency(motor1, motor2, motor3, sensor1, sensor2)").alias("d")).collect()
+        F.expr("calculate_motor_efficiency(motor1, motor2, motor3, sensor1, sensor2)").alias("d")).collect()
     assert all(r.a == r.b and r.c == pytest.approx(r.d) for r in both)
     risks = spark.createDataFrame(
         [("CRITICAL", 0.2, 0.6), ("WARNING", 0.5, 0.3), ("NORMAL", 0.9, 0.0)], "s string, e double, f double")
-    pairs = risks.select(scoring.equipment_risk("s", "e", "f").alias("a"), F.expr("equipment_risk(s, e, f)").alias("b"))
+    pairs = risks.select(scoring.equipment_risk("s", "e", "f").alias("a"), F.expr("assess_equipment_risk(1, s, e, f, 0D)").alias("b"))
     assert all(r.a == r.b for r in pairs.collect())
     z = spark.createDataFrame([(1.5, -9.0, None), (None, None, None)], "a double, b double, c double")
     score = scoring.outlier_score({"sensor1": F.col("a"), "sensor2": F.col("b"), "sensor3": F.col("c")})
-    assert [tuple(r) for r in z.select(score, F.expr("outlier_score(a, b, c)")).collect()] == [(1.0, 1.0), (0.0, 0.0)]
+    assert [tuple(r) for r in z.select(score, F.expr("calculate_outlier_score(a, b, c)")).collect()] == [(1.0, 1.0), (0.0, 0.0)]
+
+
+def test_nested_sql_functions_agree(spark):
+    register_functions(spark)
+    values = (None, 0.0, 1.2, 2.2, 2.7, 55.0, 65.0, 71.0, 79.0, 95.0)
+    df = spark.createDataFrame([(t, h, v, e) for t in values for h in (None, 61.0) for v in values[:5] for e in values],
+                               "t double, h double, v double, e double")
+    pairs = df.select(
+        F.struct(scoring.equipment_status("t", "v", "e"), scoring.anomaly_score("t", "h", "v", "e"),
+                 scoring.maintenance_need("t", "v", "e")).alias("a"),
+        F.expr("struct(classify_equipment_status(t, v, e), calculate_anomaly_score(t, h, v, e), predict_maintenance_need(t, v, e, 10D))")
+        .alias("b"))
+    assert all(tuple(r.a) == tuple(r.b) for r in pairs.collect())

@@ -137,15 +137,24 @@ def test_order_violations(rows, cut):
     same(found.select("event_id", "out_of_order"), plain.select("event_id", "out_of_order"))
 
 
-@pytest.mark.parametrize("q,max_rows", [(0.0, 5), (0.5, 5), (0.95, 5), (0.95, 1_000_000)])
-def test_percentiles(rows, q, max_rows):
-    between = percentile(rows, ["x"], q, "DeviceId", interpolate=True, max_rows=max_rows)
+@pytest.mark.parametrize("q,accuracy", [(0.0, 50), (0.5, 50), (0.95, 50), (1.0, 50), (0.95, 10_000)])
+def test_percentiles(rows, q, accuracy):
+    between = percentile(rows, ["x"], q, "DeviceId", interpolate=True, accuracy=accuracy)
     same(between.select("DeviceId", F.round("x", 9).alias("x")),
          rows.groupBy("DeviceId").agg(F.round(F.percentile("x", q), 9).alias("x")))
-    occurring = percentile(rows, ["x"], q, "DeviceId", max_rows=max_rows)
+    occurring = percentile(rows, ["x"], q, "DeviceId", accuracy=accuracy)
     same(occurring, rows.groupBy("DeviceId").agg(F.expr(f"percentile_disc({q}) within group (order by x)").alias("x")))
 
 
+def test_percentile_of_many_different_doubles(spark):
+    """Far more values than the sketch keeps; NaN and NULL do not count."""
+    df = spark.range(200_000).select(F.when(F.col("id") % 7 == 0, float("nan")).when(F.col("id") % 11 == 0, None)
+                                     .otherwise(F.sin("id") * 1e9).alias("x"), F.lit(1).alias("DeviceId"))
+    for q in (0.05, 0.5, 0.95):
+        found = percentile(df, ["x"], q, interpolate=True, accuracy=200).first().x
+        assert found == pytest.approx(df.filter("NOT isnan(x)").agg(F.percentile("x", q)).first()[0], rel=1e-12)
+
+
 def test_percentile_of_nothing(spark, rows):
     assert percentile(rows.filter("false"), ["x"], 0.5, "DeviceId").count() == 0
 
