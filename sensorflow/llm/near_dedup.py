@@ -4,8 +4,8 @@
    of registers. Documents with equal sets form a class; its smallest doc_id stands for it.
 2. Classes that share a band key are in a bucket. Each class is first compared with the bucket minimum it meets most
    often, so a group of many near copies is joined by one link per member, not by all pairs.
-3. What is left are classes in one bucket but in different components. All of these pairs are tried, block by block: low
-   bytes of the registers first, then the joint likelihood of the two sketches, then the full sets.
+3. What is left are classes in one bucket but in different components. All of these pairs are tried, block by block inside
+   tasks: equal registers, the joint likelihood of the two sketches, then the full sets.
 With 60 bands of 5 registers a pair at the threshold of 0.75 shares no bucket once in ten million; above it, less often.
 """
 
@@ -46,7 +46,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     content = _contents(docs, members)
     links = tasks.written(_confirmed(_first_pairs(members), content, percent), "links")
     parts = tasks.written(components(links), "components")
-    more = tasks.written(_confirmed(_plausible(_cross_pairs(members, parts, content, percent), content, percent), content, percent), "links")
+    more = tasks.written(_cross_links(members, parts, content, percent), "links")
     if not more.isEmpty():
         parts = components(links.unionByName(more))
 
@@ -66,8 +66,8 @@ def _signatures(doc_ids, texts):
 
 
 def _members(bands: DataFrame) -> DataFrame:
-    """class_id, n_shingles, key and first (the smallest class) for every bucket with several classes."""
-    rows = bands.select(F.col("doc_id").alias("class_id"), F.col("n_shingles").cast("int").alias("n"), F.explode("bands").alias("key"))
+    """class_id, band, key and first (the smallest class) for every bucket with several classes."""
+    rows = bands.select(F.col("doc_id").alias("class_id"), F.posexplode("bands").alias("band", "key"))
     shared = tasks.written(rows.groupBy("key").agg(F.count("*").alias("size"), F.min("class_id").alias("first"))
                            .filter("size > 1").drop("size"), "buckets")
     return tasks.written(rows.join(shared, "key"), "members")
@@ -80,12 +80,9 @@ def _contents(docs: DataFrame, members: DataFrame) -> DataFrame:
 
     def sketch(class_ids, found):
         for class_id, text in zip(class_ids, found, strict=True):
-            elements = shingles.shingle_set(text)
-            values = setsketch.registers(elements)
-            yield class_id, text, len(elements), values.tobytes(), values.astype(np.uint8).tobytes()
+            yield class_id, text, setsketch.registers(shingles.shingle_set(text)).tobytes()
 
-    return tasks.written(tasks.map_rows(texts, ["class_id", "text"], "class_id long, text string, n long, registers binary, low_bytes binary",
-                                        lambda: sketch), "contents")
+    return tasks.written(tasks.map_rows(texts, ["class_id", "text"], "class_id long, text string, registers binary", lambda: sketch), "contents")
 
 
 def _first_pairs(members: DataFrame) -> DataFrame:
@@ -96,77 +93,75 @@ def _first_pairs(members: DataFrame) -> DataFrame:
         F.col("first").alias("a"), F.col("class_id").alias("b"))
 
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1024
 
 
-def _cross_pairs(members: DataFrame, parts: DataFrame, content: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of classes in one bucket but in different components that may be similar enough.
+def _cross_links(members: DataFrame, parts: DataFrame, content: DataFrame, percent: int) -> DataFrame:
+    """Links between classes in one bucket but in different components.
 
-    Every such pair is compared, by size and by the low bytes of the registers, inside the task that has the bucket; only
-    pairs that pass leave it. A bucket of more than BLOCK_ROWS classes is cut into blocks, and each pair of blocks is a task's
-    worth of its own, so no task holds a bucket.
+    Every such pair is tried inside the task that has the bucket, in the first of the buckets that the two share: sizes, equal
+    registers, joint likelihood, then the full sets. Only links leave the task, and only one between any two components of a
+    bucket, since more say nothing new. A bucket of more than BLOCK_ROWS classes is cut into blocks, and each pair of blocks
+    is a task's worth of its own, so no task holds a bucket.
     """
     found = members.join(parts.withColumnRenamed("node", "class_id"), "class_id", "left").select(
-        "key", "class_id", "n", F.coalesce("component", "class_id").alias("component"))
+        "key", "band", "class_id", F.coalesce("component", "class_id").alias("component"))
     sizes = found.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
     open_keys = tasks.written(sizes.filter("low < high").select(
         "key", (F.floor((F.col("size") - 1) / BLOCK_ROWS) + 1).cast("int").alias("blocks")), "open")
     rows = tasks.written(found.join(open_keys, "key"), "open")
-    rows = rows.join(content.select("class_id", "low_bytes"), "class_id")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("class_id"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    units = rows.select("key", "class_id", "n", "component", "low_bytes", "block", other).withColumns(
-        {"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    columns = ["key", "i", "j", "block", "class_id", "n", "component", "low_bytes"]
-    dealt = units.select(*columns).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "block")
-    pairs = dealt.mapInArrow(lambda batches: _compared(batches, percent), "a long, b long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    units = rows.select("key", "band", "class_id", "component", "block", other).withColumns(
+        {"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
+    columns = ["key", "i", "j", "band", "block", "class_id", "component", "registers", "text"]
+    dealt = units.join(content, "class_id").select(*columns).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "block")
+    return dealt.mapInArrow(lambda batches: _units(batches, percent), "a long, b long").distinct()
 
 
-def _compared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _units(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     kinds = tasks.arrow_schema("a long, b long")
     held, rows = None, []
-
-    def pairs() -> Iterator[pa.RecordBatch]:
-        low = np.frombuffer(b"".join(r[7] for r in rows), np.uint8).reshape(len(rows), -1)
-        block, ids, sizes, component = (np.array([r[k] for r in rows]) for k in (3, 4, 5, 6))
-        least = setsketch.fewest_equal(percent / 100)
-        first = np.flatnonzero(block == held[1])
-        for at in first.tolist():
-            fits = (component != component[at]) & (np.minimum(sizes, sizes[at]) * 100 >= np.maximum(sizes, sizes[at]) * percent)
-            fits &= (block == held[2]) if held[1] != held[2] else (np.arange(len(rows)) > at)
-            others = np.flatnonzero(fits)
-            if len(others):
-                near = others[(low[others] == low[at]).sum(axis=1) >= least]
-                if len(near):
-                    yield pa.record_batch([pa.array(np.full(len(near), ids[at])), pa.array(ids[near])], schema=kinds)
-
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if row[:3] != held:
-                if len(rows) > 1:
-                    yield from pairs()
+                yield tasks.record_batch(list(_unit_links(held, rows, percent)), kinds)
                 held, rows = row[:3], []
-            rows.append(row)
-    if len(rows) > 1:
-        yield from pairs()
-
-
-def _with_contents(pairs: DataFrame, content: DataFrame, *columns: str) -> DataFrame:
-    left, right = (content.select(F.col("class_id").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in columns)) for s in "ab")
-    return tasks.written(pairs, "pairs").join(right, "b").join(left, "a")
-
-
-def _plausible(pairs: DataFrame, content: DataFrame, percent: int) -> DataFrame:
-    def keep(a, b, n_a, n_b, registers_a, registers_b):
-        if not a:
-            return
-        left, right = (np.frombuffer(b"".join(r), np.uint16).reshape(len(a), -1) for r in (registers_a, registers_b))
-        good = setsketch.plausible(left, right, np.array(n_a, float), np.array(n_b, float), percent / 100)
-        yield from ((a[i], b[i]) for i in np.flatnonzero(good).tolist())
-
-    joined = _with_contents(pairs, content, "n", "registers")
-    return tasks.map_rows(joined, ["a", "b", "n_a", "n_b", "registers_a", "registers_b"], "a long, b long", lambda: keep).distinct()
+            rows.append(row[3:])
+    yield tasks.record_batch(list(_unit_links(held, rows, percent)), kinds)
+
+
+def _unit_links(unit: tuple, rows: list[tuple], percent: int) -> Iterator[tuple[int, int]]:
+    """Links that join components, of one block of a bucket or between two; rows are (band, block, class, component, registers, text)."""
+    if len(rows) < 2:
+        return
+    registers = np.frombuffer(b"".join(r[4] for r in rows), np.uint16).reshape(len(rows), -1)
+    block, ids, root = (np.array([r[k] for r in rows]) for k in (1, 2, 3))
+    band, sets = rows[0][0], [shingles.shingle_set(r[5]) for r in rows]
+    sizes = np.array([len(s) for s in sets])
+    fewest = setsketch.fewest_equal(percent / 100)
+    for at in np.flatnonzero(block == unit[1]).tolist():
+        fits = (root != root[at]) & (np.minimum(sizes, sizes[at]) * 100 >= np.maximum(sizes, sizes[at]) * percent)
+        fits &= (block == unit[2]) if unit[1] != unit[2] else (np.arange(len(rows)) > at)
+        others = np.flatnonzero(fits)
+        if not len(others):
+            continue
+        equal = registers[others] == registers[at]
+        near = equal.sum(axis=1) >= fewest
+        near &= equal.reshape(len(others), setsketch.BANDS, setsketch.ROWS).all(axis=2).argmax(axis=1) == band
+        others = others[near]
+        if len(others):
+            mine = np.broadcast_to(registers[at], (len(others), registers.shape[1]))
+            good = setsketch.plausible(mine, registers[others], np.full(len(others), float(sizes[at])), sizes[others].astype(float), percent / 100)
+            for b in others[good].tolist():
+                if root[b] != root[at] and _linked(sets[at], sets[b], percent):
+                    root[root == root[b]] = root[at]
+                    yield min(ids[at], ids[b]).item(), max(ids[at], ids[b]).item()
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = shingles.common(a, b)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def _confirmed(pairs: DataFrame, content: DataFrame, percent: int) -> DataFrame:
@@ -183,12 +178,11 @@ def _confirmed(pairs: DataFrame, content: DataFrame, percent: int) -> DataFrame:
 
         def step(a, b, text_a, text_b):
             for i in range(len(a)):
-                left, right = elements(text_a[i]), shingles.shingle_set(text_b[i])
-                both = shingles.common(left, right)
-                if 100 * both >= percent * (len(left) + len(right) - both):
+                if _linked(elements(text_a[i]), shingles.shingle_set(text_b[i]), percent):
                     yield a[i], b[i]
 
         return step
 
-    joined = _with_contents(pairs, content, "text")
+    left, right = (content.select(F.col("class_id").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
+    joined = tasks.written(pairs, "pairs").join(right, "b").join(left, "a")
     return tasks.map_rows(joined, ["a", "b", "text_a", "text_b"], "a long, b long", check)

@@ -45,7 +45,7 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 
 def fewest_equal(similarity: float, deviations: float = 6.5) -> int:
-    """Equal registers that a pair of that similarity or more has but once in ten billion. Equal low bytes are no fewer."""
+    """Equal registers that a pair of that similarity or more has but once in ten billion."""
     return int(REGISTERS * similarity - deviations * (REGISTERS * similarity * (1 - similarity)) ** 0.5)
 
 
