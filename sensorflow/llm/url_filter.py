@@ -99,7 +99,8 @@ def trained(labelled: DataFrame, total: int, train_rows: int = TRAIN_ROWS) -> Pi
     """Trees fitted on about `train_rows` labelled urls, picked by a hash of the url."""
     slots = 1 << 30
     picked = F.pmod(F.xxhash64(F.lit("train"), "url"), F.lit(slots)) < min(slots, slots * train_rows // max(total, 1) + 1)
-    sample = labelled.filter(picked).withColumn("blocked", (F.col("ruled") == "block").cast("double"))
+    sample = labelled.filter(picked).select(*FEATURES, (F.col("ruled") == "block").cast("double").alias("blocked"))
+    sample = written(sample, "urls")  # trees read their rows again and again; the table is read once
     trees = GBTClassifier(labelCol="blocked", featuresCol="_features", maxIter=10, maxDepth=3, stepSize=0.3, seed=7,
                           predictionCol="_blocked")
     return Pipeline(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="_features"), trees]).fit(sample)
