@@ -9,6 +9,7 @@ from sensorflow.functions import scoring
 from sensorflow.functions.quality import presence_score
 from sensorflow.functions.sql import register_functions
 from sensorflow.operators import anomaly, joins, records, stats, windows
+from sensorflow.operators.timeline import HOUR
 from sensorflow.plans.catalog import query
 from sensorflow.plans.report_queries import _PRESENT, RECORD_QUALITY_SQL, cleaned
 from sensorflow.plans.source_queries import _VALID, FIELDS, _bounds
@@ -45,7 +46,7 @@ SELECT event_id, DeviceId, {', '.join(map(_iqr, SENSORS))} FROM (SELECT *,
   FROM readings WHERE DeviceId IS NOT NULL
   WINDOW w AS (PARTITION BY DeviceId ORDER BY event_time, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW))""")
 def iqr_outliers(t: Tables) -> DataFrame:
-    found = windows.iqr_outliers(t.readings(), span=24 * windows.HOUR)
+    found = windows.iqr_outliers(t.readings(), span=24 * HOUR)
     return found.select("event_id", "DeviceId", *(f"{s}_{x}" for s in SENSORS for x in ("q1", "q3", "iqr_outlier")))
 
 

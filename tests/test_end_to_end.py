@@ -15,7 +15,7 @@ def test_messages_to_reports(spark, small):
         jobs.to_end(query)
     total = Tables(spark, small).table("events").count()
     raw, bad = spark.read.parquet(f"{root}/layers/raw"), spark.read.parquet(f"{root}/quarantine")
-    assert raw.count() + bad.count() == total and bad.count() == 7
+    assert raw.count() + bad.count() == total and bad.count() == 28
 
     end_to_end.batch(spark, f"{root}/layers/raw", f"{root}/reports")
     hourly = spark.read.parquet(f"{root}/reports/hourly")

@@ -90,12 +90,28 @@ def test_fan_out_is_idempotent(spark):
     land(spark, f"{root}/in", 0, [(1, 0, 1, 95.0), (2, 1, 2, 50.0)])
     land(spark, f"{root}/in", 1, [(4, 2, None, 50.0), (5, 3, 3, 50.0)])
     fan = layers.FanOut(f"{root}/layers")
-    for checkpoint in ("a", "b"):
-        jobs.to_end(jobs.each_batch(stream(spark, f"{root}/in"), fan, f"{root}/{checkpoint}", every=None))
     count = lambda name: spark.read.parquet(fan.path(name)).count()
-    assert (count("raw"), count("processed"), count("quality")) == (4, 3, 3)
+    table = jobs.collected(stream(spark, f"{root}/in"), f"{root}/table", spark)
+    for run in ("a", "a"):  # a batch that is run again replaces itself
+        fan(table, 0, run)
+        assert (count("raw"), count("processed"), count("quality")) == (4, 3, 3)
+    jobs.to_end(jobs.each_batch(stream(spark, f"{root}/in"), fan, f"{root}/b", every=None))  # a new checkpoint adds
+    assert (count("raw"), count("processed"), count("quality")) == (8, 6, 6)
     found = spark.read.json(fan.path("alerts")).collect()
-    assert [(a.device_id, a.severity) for a in found] == [(1, "HIGH_WARNING")]
+    assert [(a.device_id, a.severity) for a in found] == [(1, "HIGH_WARNING")] * 2
+
+
+def test_keyed_layer_over_two_checkpoints(spark):
+    root = work_path(spark, "keyed")
+    land(spark, f"{root}/in", 0, [(1, 0, 1, 95.0), (2, 1, 2, 50.0), (3, 1, 2, 60.0)])
+    fan = layers.FanOut(f"{root}/layers", keys=("DeviceId", "event_time"), order=("event_id",))
+    for name in ("a", "b"):
+        jobs.to_end(jobs.each_batch(stream(spark, f"{root}/in"), fan, f"{root}/{name}", every=None))
+    log = fan.processed()
+    folded = log.compact(spark, f"{root}/folded")
+    jobs.to_end(jobs.each_batch(stream(spark, f"{root}/in"), folded, f"{root}/c", every=None))
+    for one in (log, folded):
+        assert {(r.DeviceId, r.sensor1) for r in one.read(spark).collect()} == {(1, 95.0), (2, 60.0)}
 
 
 def test_decoding_keeps_malformed_text(spark):
@@ -131,9 +147,12 @@ def test_progress_reports(spark):
     spark.streams.addListener(listener)
     source = jobs.observed(stream(spark, f"{root}/in"), range_score() == 0)
     run = jobs.to_end(jobs.table_layer(source, f"{root}/out", f"{root}/cp"))
-    rows = [r for r in jobs.progress_rows(run) if r[1]]
     spark.streams.removeListener(listener)
-    assert rows[0][1] == 2 and rows[0][4] == 0.5
+    assert run.recentProgress
+    with jobs.ProgressTable(spark, f"{root}/reports", every=1) as reports:
+        jobs.to_end(jobs.table_layer(source, f"{root}/out2", f"{root}/cp2"))
+    row, = reports.read().filter("input_rows > 0").collect()
+    assert row.input_rows == 2 and row.error_share == 0.5
 
 
 def test_stream_equals_batch(spark):
