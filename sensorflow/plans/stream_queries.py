@@ -108,6 +108,10 @@ def finished(t: Tables, df: DataFrame, name: str) -> DataFrame:
     return jobs.collected(df, work_path(t.spark, name), t.spark)
 
 
+def whole(t: Tables, transform, name: str) -> DataFrame:
+    return jobs.collected_whole(known(t), transform, work_path(t.spark, name))
+
+
 @query("stream_enrich", """
 SELECT event_id, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') AS "time", DeviceId, sensor1, sensor2, sensor3, motor1, motor2,
   motor3, isFail, CASE WHEN sensor1 BETWEEN 0 AND 100 AND sensor2 BETWEEN 0 AND 100 AND sensor3 BETWEEN 0 AND 150
@@ -193,24 +197,23 @@ def stream_upsert_latest(t: Tables) -> DataFrame:
 
 _STATS = """count(*) AS readings, count(*) FILTER (isFail) AS failures, round(avg(sensor1), 6) AS sensor1_avg,
   round(avg(sensor2), 6) AS sensor2_avg, round(avg(sensor3), 6) AS sensor3_avg"""
-_CLOSED = "(SELECT max(event_time) - INTERVAL 60 SECOND FROM readings WHERE DeviceId IS NOT NULL)"
 
 
 @query("stream_stats_tumbling", f"""
 SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, DeviceId, {_STATS}
 FROM (SELECT *, time_bucket(INTERVAL 10 MINUTE, event_time) AS window_start FROM readings WHERE DeviceId IS NOT NULL)
-GROUP BY 1, 2, 3 HAVING window_start + INTERVAL 10 MINUTE <= {_CLOSED}""")
+GROUP BY 1, 2, 3""")
 def stream_stats_tumbling(t: Tables) -> DataFrame:
-    return finished(t, jobs.tumbling_statistics(known(t), "10 minutes"), "tumbling")
+    return whole(t, lambda df: jobs.tumbling_statistics(df, "10 minutes"), "tumbling")
 
 
 @query("stream_sliding", f"""
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, DeviceId, {_STATS}
 FROM (SELECT *, time_bucket(INTERVAL 1 MINUTE, event_time) - INTERVAL 1 MINUTE * shift AS window_start
       FROM readings, range(5) s(shift) WHERE DeviceId IS NOT NULL)
-GROUP BY 1, 2, 3 HAVING window_start + INTERVAL 5 MINUTE <= {_CLOSED}""")
+GROUP BY 1, 2, 3""")
 def stream_sliding(t: Tables) -> DataFrame:
-    return finished(t, jobs.tumbling_statistics(known(t), "5 minutes", slide="1 minute"), "sliding")
+    return whole(t, lambda df: jobs.tumbling_statistics(df, "5 minutes", slide="1 minute"), "sliding")
 
 
 @query("stream_dedup", "SELECT DISTINCT DeviceId, event_time FROM readings WHERE DeviceId IS NOT NULL")
@@ -225,9 +228,9 @@ SELECT DeviceId, min(event_time) AS session_start, max(event_time) + INTERVAL 5
 FROM (SELECT *, sum(fresh) OVER (PARTITION BY DeviceId ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING) AS session
   FROM (SELECT *, CASE WHEN event_time - lag(event_time) OVER (PARTITION BY DeviceId ORDER BY event_time, event_id) < INTERVAL 5 MINUTE
           THEN 0 ELSE 1 END AS fresh FROM readings WHERE DeviceId IS NOT NULL))
-GROUP BY DeviceId, session HAVING max(event_time) + INTERVAL 5 MINUTE <= {_CLOSED}""")
+GROUP BY DeviceId, session""")
 def stream_sessions(t: Tables) -> DataFrame:
-    return finished(t, jobs.sessions(known(t)), "sessions")
+    return whole(t, jobs.sessions, "sessions")
 
 
 @query("stream_silence", f"""
@@ -235,9 +238,9 @@ SELECT DeviceId, max(event_time) AS silent_from, max(event_time) + INTERVAL 8 MI
 FROM (SELECT *, sum(fresh) OVER (PARTITION BY DeviceId ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING) AS session
   FROM (SELECT *, CASE WHEN event_time - lag(event_time) OVER (PARTITION BY DeviceId ORDER BY event_time, event_id) < INTERVAL 8 MINUTE
           THEN 0 ELSE 1 END AS fresh FROM readings WHERE DeviceId IS NOT NULL))
-GROUP BY DeviceId, session HAVING max(event_time) + INTERVAL 8 MINUTE <= {_CLOSED}""")
+GROUP BY DeviceId, session""")
 def stream_silence(t: Tables) -> DataFrame:
-    return finished(t, jobs.silence_alarms(known(t)), "silence")
+    return whole(t, jobs.silence_alarms, "silence")
 
 
 @query("stream_batch_parity", """

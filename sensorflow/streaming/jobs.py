@@ -131,6 +131,26 @@ def collected(df: DataFrame, root: str, spark: SparkSession) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{root}/out")
 
 
+END = "9999-01-01 00:00:00"
+
+
+def collected_whole(df: DataFrame, transform: Callable[[DataFrame], DataFrame], root: str, time: str = "event_time") -> DataFrame:
+    """As `collected`, for a transformation with windows, and with what is still open at the end of the input.
+
+    A watermark never passes the newest row, so the last windows and sessions of a bounded run stay open. When all is read,
+    one row of the far future is put beside the input and the query goes on from its checkpoint: the row closes everything
+    before it and stays open itself. Input that comes after that would be late, so this is for runs that are over."""
+    spark, end = df.sparkSession, f"{root}/end"
+    spark.createDataFrame([], df.schema).write.parquet(end)
+    closing = spark.readStream.schema(df.schema).parquet(end)
+    out = transform(df.unionByName(closing))
+    to_end(table_layer(out, f"{root}/out", f"{root}/checkpoint"))
+    row = {f.name: F.lit(None).cast(f.dataType) for f in df.schema.fields} | {time: F.lit(END).cast(df.schema[time].dataType)}
+    spark.range(1).select(*(c.alias(n) for n, c in row.items())).coalesce(1).write.mode("append").parquet(end)
+    to_end(table_layer(out, f"{root}/out", f"{root}/checkpoint"))
+    return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
 # --- progress ------------------------------------------------------------------------------------------------
 
 PROGRESS_SCHEMA = "batch_id bigint, input_rows bigint, rows_per_second double, duration_ms double, error_share double"
