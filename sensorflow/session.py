@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -38,7 +40,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 @lru_cache(maxsize=1)
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="sensorflow-")
+    """Removed when the program ends."""
+    folder = tempfile.mkdtemp(prefix="sensorflow-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def work_path(spark: SparkSession, name: str) -> str:
