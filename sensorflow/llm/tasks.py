@@ -102,7 +102,9 @@ def group_totals(df: DataFrame, keys: list[str], **totals: tuple[Callable[[Colum
 # --- files: written by tasks to the shared folder; the manifest, not the listing, says which ones count -------------
 
 def store(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
 def attempt_name(folder: str, stem: str, ending: str) -> str:
