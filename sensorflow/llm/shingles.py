@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WORDS = 5
-_KEPT_WORDS = 500_000
+_KEPT_WORDS = 300_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -20,13 +20,14 @@ class _Hashes(dict):
         return value
 
 
-_HASHES = _Hashes()
+#: word -> 64-bit hash; bounded, one for all operators of a worker.
+HASHES = _Hashes()
 
 
 def word_hashes(text: str | None) -> np.ndarray:
     """Hashes of the words `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z; bytes.lower and bytes.split do exactly that."""
     words = text.encode().lower().split() if text else []
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

@@ -11,11 +11,11 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorflow.llm.shingles import HASHES
 from sensorflow.llm.tasks import map_rows
 
 LEAST = 5
@@ -26,25 +26,13 @@ _MODULUS = (1 << 61) - 1
 _FACTOR = 1_000_003
 
 
-class _Numbers(dict):
-    """word -> 64-bit hash; bounded."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= 500_000:
-            self.clear()
-        self[word] = value
-        return value
-
-
-_NUMBERS = _Numbers()
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(LEAST)], np.uint64)
 
 
 def words(text: str | None) -> np.ndarray:
     """Hashes of the words of a text: letters and digits, in lower case; punctuation separates."""
     found = text.lower().encode().translate(_BLANKED).split() if text else []
-    return np.fromiter(map(_NUMBERS.__getitem__, found), np.uint64, len(found))
+    return np.fromiter(map(HASHES.__getitem__, found), np.uint64, len(found))
 
 
 def seeds(tokens: np.ndarray, least: int = LEAST) -> np.ndarray:
