@@ -1,13 +1,14 @@
 """Nearest neighbours by cosine with a permutation index.
 
-A vector is represented by the order of the pivots around it, nearest first. It is posted, with that permutation, in the
-inverted file of each of its first `posts` pivots. A query probes the files of its first `probes` pivots, ranks what they
-hold by Spearman's footrule between the permutations, and the best of each file are compared again by the exact cosine of
-the original vectors. Files are split into parts of about PART_ROWS postings, so a crowded file is searched by many tasks.
+A vector is represented by the order of the pivots around it, nearest first. It is posted in the inverted file of each of
+its first `posts` pivots. A query probes the files of its first `probes` pivots and compares all they hold by the cosine of
+the original vectors: near copies have almost the same permutation, so no order of permutations can say which of them, or
+of the rows behind them, to leave out. Files are split into parts of about PART_ROWS postings, so a crowded file is
+searched by many tasks.
 
 The settings are for vectors with as many dimensions as they look to have, where a query must see much of the table: with
-128 pivots a query meets about three quarters of it, by footrule only, and a few hundredths by cosine. More pivots and fewer probes
-suit clustered vectors and very large tables.
+128 pivots a query meets about three quarters of it. More pivots and fewer probes suit clustered vectors and very large
+tables.
 """
 
 from __future__ import annotations
@@ -25,18 +26,18 @@ from pyspark.sql.window import Window
 from sensorflow.llm.tasks import arrow_schema, record_batch, written
 
 PART_ROWS = 4096
+QUERY_BLOCK = 256  # queries compared with a batch of postings at a time: bounds the matrix of scores
 
 
 @dataclass(frozen=True)
 class Settings:
-    """`pivots` bounds what is sampled and broadcast; `rerank` is by query and part of a file."""
+    """`pivots` bounds what is sampled and broadcast."""
 
     neighbours: int = 5
     every: int = 50
     pivots: int = 128
     posts: int = 5
     probes: int = 32
-    rerank: int = 96
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -106,18 +107,6 @@ def permutations(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.argsort(-(normal(vectors) @ centres.T), axis=1, kind="stable")
 
 
-def ranks(orders: np.ndarray) -> np.ndarray:
-    """The place of each pivot in each permutation."""
-    places = np.empty(orders.shape, "<i2")
-    np.put_along_axis(places, orders, np.arange(orders.shape[1], dtype="<i2")[None, :], axis=1)
-    return places
-
-
-def footrule(query: np.ndarray, posted: np.ndarray) -> np.ndarray:
-    """Spearman's footrule between one permutation and many, by ranks."""
-    return np.abs(posted - query).sum(axis=1, dtype=np.int32)
-
-
 def _near_classes(distinct: DataFrame, asked: DataFrame, settings: Settings) -> DataFrame:
     """class, other, score: the nearest classes of each asked class, itself among them."""
     spark = distinct.sparkSession
@@ -135,7 +124,7 @@ def _near_classes(distinct: DataFrame, asked: DataFrame, settings: Settings) ->
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts").withColumn("kind", F.lit(0))
     dealt = entries.unionByName(probing).repartition("file", "part").sortWithinPartitions("file", "part", "kind")
     schema = "class string, other string, vec_id long, score double"
-    found = dealt.select("file", "part", "kind", "class", "vec_id", "vector", "ranks").mapInArrow(
+    found = dealt.select("file", "part", "kind", "class", "vec_id", "vector").mapInArrow(
         lambda batches: _searched(batches, settings, schema), schema)
     found = found.groupBy("class", "other", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("class").orderBy(F.desc("score"), "vec_id")
@@ -143,51 +132,63 @@ def _near_classes(distinct: DataFrame, asked: DataFrame, settings: Settings) ->
 
 
 def _posted(rows: DataFrame, centres: Broadcast, files: int) -> DataFrame:
-    """A row for each of the first `files` pivots of a vector, with its permutation as ranks."""
-    kinds = arrow_schema("class string, vec_id long, vector binary, ranks binary, file int")
+    """A row for each of the first `files` pivots of a vector."""
+    kinds = arrow_schema("class string, vec_id long, vector binary, file int")
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 vectors = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                orders = permutations(vectors, centres.value)
-                places, firsts = ranks(orders), orders[:, :files].tolist()
+                firsts = permutations(vectors, centres.value)[:, :files].tolist()
                 yield record_batch([
-                    (name, vec_id, v.tobytes(), r.tobytes(), file) for name, vec_id, v, r, first in zip(
-                        batch.column(0).to_pylist(), batch.column(1).to_pylist(), vectors, places, firsts, strict=True)
+                    (name, vec_id, v.tobytes(), file) for name, vec_id, v, first in zip(
+                        batch.column(0).to_pylist(), batch.column(1).to_pylist(), vectors, firsts, strict=True)
                     for file in first], kinds)
 
     return rows.select("class", "vec_id", "vector").mapInArrow(
-        post, "class string, vec_id long, vector binary, ranks binary, file int")
+        post, "class string, vec_id long, vector binary, file int")
 
 
 def _searched(batches: Iterator[pa.RecordBatch], settings: Settings, schema: str) -> Iterator[pa.RecordBatch]:
-    """Rows come part by part, queries first. Holds the queries of a part and one batch of postings."""
+    """Rows come part by part, queries first. Holds the queries of a part with their best so far, and one batch of postings."""
     kinds = arrow_schema(schema)
-    part, queries = None, []  # queries: (class, vector, permutation)
-    pool: dict[int, tuple] = {}
-
-    def merged(at: int, distances: np.ndarray, entries: tuple) -> None:
-        keep = np.argsort(distances, kind="stable")[:settings.rerank]
-        new = (distances[keep], entries[0][keep], entries[1][keep], entries[2][keep])
-        if at in pool:
-            new = tuple(np.concatenate(x) for x in zip(pool[at], new, strict=True))
-            keep = np.argsort(new[0], kind="stable")[:settings.rerank]
-            new = tuple(x[keep] for x in new)
-        pool[at] = new
+    most = settings.neighbours + 1
+    part, names, rows = None, [], []  # classes and vectors of the queries
+    best: dict[int, tuple] = {}  # by query: scores, vec_ids and classes, best first
+    worst = np.empty(0)  # by query: the last score of `most`, from where on others matter
+
+    def compared(entries: tuple) -> None:
+        """All queries with all entries. A fast product finds what can be among the best; cosines decide."""
+        classes, ids, vectors = entries
+        units, n = normal(vectors), len(ids)
+        slack = 8 * (vectors.shape[1] + 8) * np.finfo(float).eps  # more than the product and the cosine can differ
+        for a in range(0, len(rows), QUERY_BLOCK):
+            asked = np.array(rows[a:a + QUERY_BLOCK])
+            near = normal(asked) @ units.T
+            least = worst[a:a + QUERY_BLOCK]
+            if n > most:
+                least = np.maximum(least, np.partition(near, n - most, axis=1)[:, n - most])
+            hits = near >= least[:, None] - 2 * slack
+            for i in np.flatnonzero(hits.any(axis=1)):
+                at = np.flatnonzero(hits[i])
+                new = cosines(asked[i], vectors[at]), ids[at], classes[at]
+                if a + i in best:
+                    new = tuple(np.concatenate(x) for x in zip(best[a + i], new, strict=True))
+                keep = np.lexsort((new[1], -new[0]))[:most]
+                best[a + i] = tuple(x[keep] for x in new)
+                if len(keep) == most:
+                    worst[a + i] = best[a + i][0][-1]
 
     def answers() -> Iterator[pa.RecordBatch]:
-        rows = []
-        for at, (_, classes, ids, vectors) in pool.items():
-            scores = cosines(queries[at][1], vectors)
-            best = np.lexsort((ids, -scores))[:settings.neighbours + 1]
-            rows += [(queries[at][0], classes[i], int(ids[i]), float(scores[i])) for i in best]
-            if len(rows) >= 1000:
-                yield record_batch(rows, kinds)
-                rows = []
-        if rows:
-            yield record_batch(rows, kinds)
-        pool.clear()
+        out = []
+        for at, (scores, ids, classes) in best.items():
+            out += [(names[at], c, int(i), float(s)) for c, i, s in zip(classes, ids, scores, strict=True)]
+            if len(out) >= 1000:
+                yield record_batch(out, kinds)
+                out = []
+        if out:
+            yield record_batch(out, kinds)
+        best.clear()
 
     for batch in batches:
         files, parts, marks = (batch.column(i).to_numpy() for i in range(3))
@@ -197,17 +198,16 @@ def _searched(batches: Iterator[pa.RecordBatch], settings: Settings, schema: str
                 continue
             if (files[a], parts[a]) != part:
                 yield from answers()
-                part, queries = (files[a], parts[a]), []
+                part, names, rows, worst = (files[a], parts[a]), [], [], np.empty(0)
             piece = batch.slice(a, b - a)
             vectors = np.frombuffer(b"".join(piece.column(5).to_pylist()), "<f8").reshape(len(piece), -1)
-            posted = np.frombuffer(b"".join(piece.column(6).to_pylist()), "<i2").reshape(len(piece), -1)
-            names = np.array(piece.column(3).to_pylist(), object)
+            classes = np.array(piece.column(3).to_pylist(), object)
             if marks[a] == 0:
-                queries += list(zip(names, vectors, posted, strict=True))
+                names += classes.tolist()
+                rows += list(vectors)
+                worst = np.full(len(rows), -np.inf)
             else:
-                entries = names, piece.column(4).to_numpy(), vectors
-                for at, (_, _, permutation) in enumerate(queries):
-                    merged(at, footrule(permutation, posted), entries)
+                compared((classes, piece.column(4).to_numpy(), vectors))
     yield from answers()
 
 

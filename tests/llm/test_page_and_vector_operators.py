@@ -187,6 +187,20 @@ def test_recall(spark, small):
     assert len(got) == len(wanted) and len(got & wanted) >= 0.9 * len(wanted)
 
 
+def test_recall_with_a_third_of_near_copies(spark):
+    tasks.prepare(spark)
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(6000, 64))
+    copies = rng.permutation(6000)[:2000]
+    vectors[copies] = rng.normal(size=64) + 0.05 * rng.normal(size=(2000, 64))
+    found = {(q, i) for q, _, i, _ in searched(spark, list(enumerate(vectors.tolist())))}
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    for wanted in (set(range(0, 6000, 50)) & set(copies.tolist()), set(range(0, 6000, 50)) - set(copies.tolist())):
+        scores = units[sorted(wanted)] @ units.T
+        true = {(q, int(i)) for q, s in zip(sorted(wanted), scores, strict=True) for i in [i for i in np.argsort(-s)[:6] if i != q][:5]}
+        assert len(true) == 5 * len(wanted) and len(true & found) >= 0.9 * len(true)
+
+
 # --- pipeline --------------------------------------------------------------------------------------------------------------
 
 def test_pipeline(spark, small):
