@@ -2,7 +2,9 @@
 
 Base kinds are patterns alone: `assign`, `access` and `hex`. The others are decoded first. `jwt`: three base64url parts,
 the first a JSON header that names an algorithm. `pem`: an armoured private key whose body is DER or an OpenSSH key.
-`key`: a base64 or hex run that decodes to such a key. DER is parsed to the end: every nested length must fill its parent.
+`key`: a base64 or hex run that decodes to such a key, or to its armour. Base64 may be wrapped: line ends, blanks, their
+escaped forms and the joints of string literals may stand anywhere in it. Where it ends follows from the lengths that the key
+states. DER is parsed to the end: every nested length must fill its parent.
 """
 
 from __future__ import annotations
@@ -27,13 +29,33 @@ _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the same matches as runs of one or more, less those that are too short
 
-_JWT = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-_BASE64_KEY = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M|b3BlbnNzaC1rZXkt)[A-Za-z0-9+/_-]{30,}={0,2}")  # M: a DER sequence
+# What may precede a token: no character of it, or an escaped line end or tab, whose letter is none of it either. In a lookahead,
+# as both can hold within one run of characters.
+_JWT = re.compile(
+    r"(?:(?<![A-Za-z0-9_.-])|(?<=\\[nrt]))(?=([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*))")
+_GAP = r"""\s|\\+(?:[nrt]|\r?\n|u00(?:0[9aAdD]|20))|\\*["']\s*+(?:[+,.]\s*+)?\\*["']"""
+_WRITTEN = r"\\+(?:/|u00(?:2[bBdDfF]|3[dD]|5[fF]))"  # characters of base64 that are written as escapes
+_PEM = re.compile(rf"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----((?:[A-Za-z0-9+/=]|{_GAP}|{_WRITTEN})++)-----END \1-----")
+_PIECE = re.compile(rf"((?:[A-Za-z0-9+/_-]|(?!\\+u003[dD]){_WRITTEN})++)|(?:{_GAP})++")
+_PADDING = re.compile(r"(?:=|\\+u003[dD]){0,2}")
+_KEY_START = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))(?:M(?=[A-P\s\\\"'])|b(?=3|[\s\\\"']))")  # a DER sequence, OpenSSH
 _HEX_KEY = re.compile(r"(?<![0-9a-fA-F])30(?:[0-9a-fA-F]{2}){20,}(?![0-9a-fA-F])")
 _OPENSSH = b"openssh-key-v1\0"
 
 
+def _encoded_armour() -> list[tuple[str, re.Pattern]]:
+    """For each place in a group of three bytes: what stands before the sure characters of an encoded `-----BEGIN `, and these."""
+    made = []
+    for before, first in ((0, 0), (1, 2), (2, 3)):
+        text = base64.b64encode(b"\0" * before + b"-----BEGIN ").decode()
+        sure = text[first:(before + 11) * 8 // 6]
+        made.append((text[:first], re.compile(f"(?:{_GAP})*+".join(sure))))
+    return made
+
+
+_ENCODED_ARMOUR = _encoded_armour()
+
+
 def spans(text: str | None) -> list[tuple[int, int, int]]:
     """(start, place of the kind in KINDS, end) of every secret in code points, by start and then by kind."""
     if not text:
@@ -53,20 +75,136 @@ def _base(text: str) -> Iterator[tuple[int, int, int]]:
 
 
 def _decoded(text: str) -> Iterator[tuple[int, int, int]]:
-    if "eyJ" in text:
-        yield from ((m.start(), 3, m.end()) for m in _JWT.finditer(text) if signed_token(m[1], m[2], m[3]))
+    if "." in text:
+        yield from ((m.start(1), 3, m.end(3)) for m in _JWT.finditer(text) if signed_token(m[1], m[2], m[3]))
     armoured = []
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
-            if private_key(_from_base64("".join(m[2].split()))):
+            if private_key(_from_base64(_plain(m[2]))):
                 armoured.append(m.span())
                 yield m.start(), 4, m.end()
-    for m in _BASE64_KEY.finditer(text):
-        if not any(a <= m.start() < b for a, b in armoured) and private_key(_from_base64(m[0])):
-            yield m.start(), 5, m.end()
+    for start, end in _encoded_pems(text):
+        armoured.append((start, end))
+        yield start, 5, end
+    for m in _KEY_START.finditer(text):
+        if not any(a <= m.start() < b for a, b in armoured) and (end := _key_end(text, m.start())):
+            yield m.start(), 5, end
     yield from ((m.start(), 5, m.end()) for m in _HEX_KEY.finditer(text) if private_key(bytes.fromhex(m[0])))
 
 
+_ESCAPE = re.compile(r"\\+u([0-9a-fA-F]{4})|\\+(/)")
+_GAPS = re.compile(_GAP)
+
+
+def _plain(body: str) -> str:
+    """Base64 without gaps, escapes written out."""
+    return _ESCAPE.sub(lambda m: m[2] or chr(int(m[1], 16)), _GAPS.sub("", body))
+
+
+def _pieces(text: str, at: int) -> Iterator[tuple[str, int]]:
+    """Runs of base64 from `at` on, and where each ends; gaps between them are left out."""
+    while m := _PIECE.match(text, at):
+        at = m.end()
+        if m[1]:
+            yield _plain(m[1]), at
+
+
+def _key_end(text: str, start: int) -> int | None:
+    """Where the key that begins at `start` ends, by the lengths it states; None if there is none."""
+    kept, size, need = [], 0, 24  # characters
+    for piece, end in _pieces(text, start):
+        if piece.startswith("-----"):
+            return None
+        kept.append(piece)
+        size += len(piece)
+        while size >= need:
+            # As many bytes as are asked for, to read the next length.
+            run = "".join(kept)
+            kept = [run]
+            whole = run[:need] + "A" * (-need % 4)
+            data = base64.b64decode(whole.replace("-", "+").replace("_", "/"))[:need * 6 // 8]
+            wanted = _stated_size(data)
+            if wanted is None or wanted > len(text):
+                return None
+            if wanted > len(data):
+                need = -(-wanted * 8 // 6)
+                continue
+            need = -(-wanted * 8 // 6)
+            if size != need or not private_key(_from_base64(run)):
+                return None
+            return _PADDING.match(text, end).end()
+    return None
+
+
+def _stated_size(data: bytes) -> int | None:
+    """How many bytes a key takes that begins with `data`, or at least how many tell more; None if it is no key."""
+    if data[:len(_OPENSSH)] == _OPENSSH:
+        at, left = len(_OPENSSH), 3
+        counted = False
+        while left or not counted:
+            if at + 4 > len(data):
+                return at + 4
+            size = int.from_bytes(data[at:at + 4], "big")
+            at += 4
+            if left:
+                at, left = at + size, left - 1
+            else:  # the number of keys: a public part for each, then the private parts
+                counted, left = True, size + 1
+        return at
+    if data[:1] != b"\x30":
+        return None
+    width = data[1] & 0x7F if data[1] & 0x80 else 0
+    size = int.from_bytes(data[2:2 + width], "big") if width else data[1]
+    # A version, or the algorithm of an encrypted key.
+    return 2 + width + size if width <= 4 and data[2 + width] in (0x02, 0x30) else None
+
+
+def _encoded_pems(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of base64 that decodes to an armoured private key."""
+    for before, sure in _ENCODED_ARMOUR:
+        for m in sure.finditer(text):
+            if end := _encoded_pem_end(text, m.start(), before):
+                start = m.start()
+                while start > max(0, m.start() - len(before)) and _PIECE.match(text, start - 1, start):
+                    start -= 1
+                yield start, end
+
+
+def _encoded_pem_end(text: str, at: int, before: str) -> int | None:
+    first = len(before) * 6 // 8  # bytes that `before` stands for
+    data, rest, closing = bytearray(), before, b""
+    body = first + len(b"-----BEGIN ")
+    for piece, end in _pieces(text, at):
+        seen = len(data)
+        rest += piece.replace("-", "+").replace("_", "/")
+        whole = len(rest) // 4 * 4
+        data += base64.b64decode(rest[:whole])
+        rest = rest[whole:]
+        if not data[seen:].isascii():  # armour is; words that follow it are not when decoded
+            return None
+        # What the run would end with, if it ended here.
+        known = data + base64.b64decode(rest + "A" * (-len(rest) % 4))[:len(rest) * 6 // 8] if rest else data
+        if not closing:
+            label, dashes, _ = known[body:].partition(b"-----")
+            if not re.fullmatch(rb"[A-Z0-9 ]*-*", label):
+                return None
+            if not dashes:
+                continue
+            if not label.endswith(b"PRIVATE KEY"):
+                return None
+            closing = b"-----END " + bytes(label) + b"-----"
+            body += len(label) + len(dashes)
+        place = known.find(b"-", max(body, seen - len(closing)))
+        if place < 0:
+            continue
+        if known[place:place + len(closing)] == closing:
+            found = _PEM.fullmatch(known[first:place + len(closing)].decode("ascii", "replace"))
+            return _PADDING.match(text, end).end() if found and private_key(_from_base64(_plain(found[2]))) else None
+        if not closing.startswith(known[place:]):
+            return None
+    return None
+
+
 def _from_base64(text: str) -> bytes | None:
     """The decoded bytes, in either alphabet; None if the length or the unused bits are wrong."""
     text = text.rstrip("=").replace("-", "+").replace("_", "/")

@@ -303,6 +303,50 @@ def test_secrets():
     assert secrets.spans(None) == [] and secrets.spans("") == []
 
 
+def test_secrets_in_other_writing():
+    import base64
+    import json
+    import textwrap
+    number = lambda n: der(2, b"\x01" + bytes((i * 37 + n) % 256 for i in range(1, n)))
+    rsa = der(0x30, der(2, b"\0"), *(number(n) for n in (129, 3, 128, 65, 65, 65, 65, 65)))
+    ed25519 = der(0x30, der(2, b"\0"), der(0x30, der(6, b"\x2b\x65\x70")), der(4, der(4, bytes(range(32)))))
+    part = lambda b: len(b).to_bytes(4, "big") + b
+    openssh = b"openssh-key-v1\0" + part(b"none") * 2 + part(b"") + b"\0\0\0\1" + part(bytes(range(51))) + part(bytes(range(136)))
+    b64 = lambda b: base64.b64encode(b).decode()
+    found = lambda text: [(secrets.KINDS[k], text[s:e]) for s, k, e in secrets.spans(text)]
+    for key, name in ((rsa, "RSA PRIVATE KEY"), (ed25519, "PRIVATE KEY"), (openssh, "OPENSSH PRIVATE KEY")):
+        lines = textwrap.wrap(b64(key), 64)
+        pem = "\n".join([f"-----BEGIN {name}-----", *lines, f"-----END {name}-----"])
+        for end in ("\n", "\r\n"):
+            # Escaped line ends and slashes, also twice.
+            text = json.dumps({"key": (pem + "\n").replace("\n", end)})
+            for written in (text, text.replace("/", "\\/"), json.dumps(text), text.replace("+", "\\u002b").replace("=", "\\u003d")):
+                (kind, span), = found(written)
+                assert kind == "pem" and span.startswith("-----BEGIN") and span.endswith("KEY-----"), written
+        literal = '" +\n  "'.join(line + "\\n" for line in pem.split("\n"))
+        assert [k for k, _ in found(f'x = "{literal}"')] == ["pem"]
+        # Bodies without armour, wrapped in several ways; words follow.
+        for gap in ("\n", "\r\n    ", "\\n", "\\r\\n", '",\n "'):
+            for width in (10, 64, 76):
+                body = gap.join(textwrap.wrap(b64(key), width))
+                assert found(f"kept: {body}\nand Words after it") == [("key", body)], (gap, width)
+        assert found(f"one\\n{b64(key)}\\ntwo") == [("key", b64(key))]
+        assert found("\n".join(lines)[:-5]) == found("\n".join(lines).rstrip("=") + "A") == []
+        # Armour that was encoded again, alone, wrapped, or behind other text.
+        for lead in ("", "a", "ab", "abc", "A=1\nKEY="):
+            for width in (64, 76, 1 << 20):
+                again = "\n".join(textwrap.wrap(b64((lead + pem + "\n").encode()), width))
+                (kind, span), = found(f"data: {again}\nand Words after it")
+                assert kind == "key" and again.endswith(span) and len(span) > len(again) - 4 * len(lead) - 4, (lead, width)
+        assert found(b64(pem.replace(lines[0][:9], "").encode())) == found(b64(pem[:-7].encode())) == []
+    assert found(b64(b"-----BEGIN CERTIFICATE-----\n" + b64(rsa).encode() + b"\n-----END CERTIFICATE-----")) == []
+    url = lambda t: base64.urlsafe_b64encode(t.encode()).decode().rstrip("=")
+    for header in (' {"alg":"HS256"}', '\n{"alg":"HS256"}', '\r\n{ "alg":"HS256"}', '\t{"alg":"HS256"}', '{ "alg":"HS256"}', '{\n"alg":"HS256"}'):
+        token = f"{url(header)}.{url('{\"sub\":\"1\"}')}.{url('signature-bytes')}"
+        assert found(f"at {token}, www.example.com") == found(f"at\\n{token}\\n") == [("jwt", token)]
+    assert found(f"{url('[\"alg\"]')}.{url('{}')}.{url('signature-bytes')} a.b.c 1.2.3") == []
+
+
 def test_secret_rows_and_masks(spark, docs, none):
     found = {r.doc_id: r for r in secrets.find_secrets(docs.filter("doc_id IS NOT NULL")).collect()}
     assert found[2].spans == "" and found[2].base_sha256 == hashlib.sha256(b"").hexdigest()
