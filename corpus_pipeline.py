@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sensorflow.llm import chunk_reuse, near_dedup, quality_mil, secrets, tasks, tiling
 
@@ -16,11 +17,25 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id."""
+    """One document of each group of near duplicates: the one with the smallest doc_id.
+
+    A doc_id with several texts stays with the text of the smallest hash; its other texts, and texts without a doc_id, are
+    documents of their own, behind all that have a doc_id to themselves. Of rows with equal doc_id and text one stays, by a
+    fixed order.
+    """
     tasks.prepare(spark)
-    kept = near_dedup.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    # Rows that repeat a doc_id are one document; rows without one cannot be told apart and stay.
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    hashed = docs.withColumn("_hash", F.coalesce(F.sha2("text", 256), F.lit("none")))  # a null text behind all others
+    several = hashed.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("_hash").alias("_first"), F.max("_hash").alias("_last"))
+    several = tasks.written(several.filter("_first < _last").drop("_last"), "several")
+    own = F.col("doc_id").isNull() | (F.col("_hash") > F.coalesce("_first", "_hash"))
+    number = F.lit(1 << 62) + F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "_hash"), F.lit((1 << 62) - 1))
+    rows = hashed.join(several, "doc_id", "left").withColumn("_row", F.when(own, number).otherwise(F.col("doc_id")))
+    found = near_dedup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+    kept = found.filter("kept").select(F.col("doc_id").alias("_row")).distinct()
+    order = Window.partitionBy("_row").orderBy(F.xxhash64(*others) if others else "_row")
+    rows = rows.withColumn("_at", F.row_number().over(order)).filter("_at = 1")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -231,3 +231,18 @@ def test_pipeline(spark, small):
         if not secrets.spans(texts[r.doc_id]):
             assert r.text == texts[r.doc_id]
     assert corpus_pipeline.run(spark, small).count() >= counts[-1] - 2
+
+
+def test_rows_that_share_or_lack_an_id(spark):
+    words = lambda n: " ".join(f"w{n}x{i}" for i in range(40))
+    rows = [(1, words(1), "a"), (1, words(2), "a"), (1, words(2), "b"), (1, None, "a"), (2, words(3), "a"), (3, words(3) + " more", "a"),
+            (None, words(4), "a"), (None, words(4), "a"), (None, words(5), "a"), (None, words(3), "a"), (None, None, "a"), (4, words(1), "a")]
+    first = min(words(1), words(2), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    one = 1 if first == words(1) else 4  # who has the text of both 1 and 4
+    wanted = {(one, words(1)), (1, words(2)), (1, None), (2, words(3)), (None, words(4)), (None, words(5)), (None, None)}
+    for shuffled in (rows, rows[::-1]):
+        docs = spark.createDataFrame(shuffled, "doc_id long, text string, source string")
+        found = [tuple(r) for r in corpus_pipeline.one_of_each(spark, docs, "").collect()]
+        assert len(found) == len(wanted) and {r[:2] for r in found} == wanted
+        assert shuffled is rows or sorted(found, key=str) == before
+        before = sorted(found, key=str)
