@@ -95,13 +95,27 @@ def with_shares(rows: DataFrame, shares: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(shares), "_suffix", "left").withColumn("suffix_share", F.coalesce("suffix_share", F.lit(0.5)))
 
 
-def trained(labelled: DataFrame, total: int, train_rows: int = TRAIN_ROWS) -> PipelineModel:
-    """Trees fitted on about `train_rows` labelled urls, picked by a hash of the url."""
+def sampled(labelled: DataFrame, total: int, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """About `train_rows` distinct labelled urls, as many of each label, picked by a hash of the url.
+
+    `weight` is the share of the `total` labelled rows that a url stands for: its own copies, over the chance to be picked.
+    """
     slots = 1 << 30
-    picked = F.pmod(F.xxhash64(F.lit("train"), "url"), F.lit(slots)) < min(slots, slots * train_rows // max(total, 1) + 1)
-    sample = labelled.filter(picked).select(*FEATURES, (F.col("ruled") == "block").cast("double").alias("blocked"))
-    sample = written(sample, "urls")  # trees read their rows again and again; the table is read once
-    trees = GBTClassifier(labelCol="blocked", featuresCol="_features", maxIter=10, maxDepth=3, stepSize=0.3, seed=7,
+    sizes = labelled.groupBy("ruled").agg(F.approx_count_distinct("url").alias("urls")).collect()  # one row for each label
+    limit = reduce(lambda c, r: c.when(F.col("ruled") == r.ruled, min(slots, slots * train_rows // (len(sizes) * max(r.urls, 1)) + 1)),
+                   sizes, F.when(F.lit(False), 0))
+    picked = labelled.withColumn("_limit", limit).filter(F.pmod(F.xxhash64(F.lit("train"), "url"), F.lit(slots)) < F.col("_limit"))
+    urls = picked.groupBy("url", "ruled", "_limit").agg(*(F.first(f).alias(f) for f in FEATURES), F.count("*").alias("_copies"))
+    return urls.select(*FEATURES, (F.col("ruled") == "block").cast("double").alias("blocked"),
+                       (F.col("_copies") * slots / F.col("_limit") / max(total, 1)).alias("weight"))
+
+
+def trained(labelled: DataFrame, total: int, train_rows: int = TRAIN_ROWS) -> PipelineModel | None:
+    """Trees fitted on a sample of labelled urls; None if it is empty or has one label."""
+    sample = written(sampled(labelled, total, train_rows), "urls")  # trees read their rows again and again; the table is read once
+    if sample.select("blocked").distinct().count() < 2:
+        return None
+    trees = GBTClassifier(labelCol="blocked", featuresCol="_features", weightCol="weight", maxIter=10, maxDepth=3, stepSize=0.3, seed=7,
                           predictionCol="_blocked")
     return Pipeline(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="_features"), trees]).fit(sample)
 
@@ -111,7 +125,7 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, train_row
 
     The longest fitting rule decides. Urls that rules decide are the labelled ones: trees learn from a bounded sample of
     them, with suffix shares counted over all, and judge the others. Where the labels are all equal, or there are none,
-    nothing can be learned: the others get that one verdict, or `allow`. A null url, or one without `://`, has an empty
+    nothing can be learned: the others get that one verdict, or `allow`, also where the sample lacks a label. A null url, or one without `://`, has an empty
     host and path and is judged by its features. Repeated rows and null page_ids are kept; extra columns are ignored.
     """
     rows = with_rule(with_parts(pages.select("page_id", "url")), [Rule(*r) for r in rules])
@@ -119,12 +133,17 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, train_row
     labelled = rows.filter("ruled IS NOT NULL")
     counts = labelled.agg(F.count("*").alias("n"), F.count_if(F.col("ruled") == "block").alias("blocked")).first()
     columns = ["page_id", "url", "host", "path", "rule"]
-    if counts.blocked in (0, counts.n):
-        usual = "block" if counts.blocked else "allow"
+
+    def by_default(usual: str) -> DataFrame:
         return rows.select(*columns, F.coalesce("ruled", F.lit(usual)).alias("verdict"),
                            F.when(F.col("rule").isNotNull(), "rule").otherwise("default").alias("method"))
+
+    if counts.blocked in (0, counts.n):
+        return by_default("block" if counts.blocked else "allow")
     shares = written(suffix_shares(labelled), "suffixes")
     model = trained(with_shares(labelled, shares), counts.n, train_rows)
+    if model is None:
+        return by_default("allow")
     judged_rows = model.transform(with_shares(rows, shares))
     guess = F.when(F.col("_blocked") > 0.5, "block").otherwise("allow")
     return judged_rows.select(*columns, F.coalesce("ruled", guess).alias("verdict"),

@@ -7,6 +7,7 @@ import math
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import check
 import corpus_pipeline
@@ -134,6 +135,20 @@ def test_trees_learn_what_rules_say(spark, small):
     assert sum((r._blocked > 0.5) == (r.ruled == "block") for r in made) > 0.95 * len(made)
 
 
+def test_training_sample_with_hot_urls(spark):
+    tasks.prepare(spark)
+    hot = spark.range(3000).selectExpr("id AS page_id", "'http://a.net/' AS url")
+    few = hot.unionByName(spark.createDataFrame([(-1, "http://b.example.com/de/"), (-2, "http://c.org/fr/"), (-3, "http://d.edu/")], "page_id long, url string"))
+    assert {r.method for r in url_filter.judged(few, train_rows=10).select("method").distinct().collect()} == {"rule", "trees"}
+    assert {r.method for r in url_filter.judged(few, train_rows=0).filter("rule IS NULL").collect()} <= {"default", "trees"}
+    many = hot.unionByName(spark.range(6000).selectExpr("id AS page_id", "concat('http://h', id, if(id % 3 = 0, '.net/', '.org/fr/')) AS url"))
+    rows = url_filter.with_features(url_filter.with_rule(url_filter.with_parts(many), [url_filter.Rule(*r) for r in url_filter.RULES]))
+    sample = url_filter.sampled(rows.withColumn("suffix_share", F.lit(0.5)), 9000, 1000).toPandas()
+    assert 850 < len(sample) < 1150 and 400 < sample.blocked.sum() < 600
+    # The copies of one url are one row, with their weight.
+    assert url_filter.sampled(rows.filter("url = 'http://a.net/'").withColumn("suffix_share", F.lit(0.5)), 3000, 1000).toPandas().weight.tolist() == [1.0]
+
+
 def test_rules_on_the_table(spark, small):
     db = duckdb.connect()
     db.execute(f"CREATE VIEW pages AS SELECT * FROM '{small}/pages.parquet'")
