@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,13 +44,11 @@ class Settings:
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id, vector (doubles) and class: rows whose vector is not null, empty or zero and has finite components only.
 
-    Where lengths differ, only vectors of the most frequent length take part, of equally frequent ones the shortest.
+    Where lengths differ, each length is searched on its own.
     """
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector")).filter("vec_id IS NOT NULL AND vector IS NOT NULL")
     good = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
     rows = rows.filter(good)
-    sizes = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).select("size")
-    rows = rows.join(F.broadcast(sizes), F.size("vector") == F.col("size"), "left_semi")
     return rows.withColumn("class", F.sha2(F.to_json(F.struct("vector")), 256))
 
 
@@ -87,13 +86,27 @@ def pivot_count(rows: int, most: int) -> int:
     return max(1, min(most, rows // 8))
 
 
-def pivots(distinct: DataFrame, count: int, total: int) -> np.ndarray:
-    """Vectors picked by a hash: a bounded sample of about `count` rows."""
+def pivots(distinct: DataFrame, most: int) -> dict[int, np.ndarray]:
+    """By length, vectors picked by a hash: a bounded sample of each length, at least one."""
     slots = 1 << 30
-    picked = F.pmod(F.xxhash64(F.lit("pivot"), "class"), F.lit(slots)) < min(slots, slots * count // max(total, 1) + 1)
-    rows = distinct.filter(picked).select("class", "vector").orderBy("class").limit(2 * count).collect()
-    rows = rows or distinct.select("class", "vector").orderBy("class").limit(1).collect()
-    return normal(np.array([r.vector for r in rows], float))
+    rows = distinct.select(F.size("vector").alias("size"), "class", "vector")
+    totals = {r.size: r["count"] for r in rows.groupBy("size").count().collect()}  # one row for each length
+    if not totals:
+        return {}
+    counts = {size: pivot_count(total, most) for size, total in totals.items()}
+    bounds = rows.sparkSession.createDataFrame(
+        [(size, min(slots, slots * counts[size] // total + 1), 2 * counts[size]) for size, total in totals.items()], "size int, bound long, most int")
+    picked = rows.join(F.broadcast(bounds), "size").filter(F.pmod(F.xxhash64(F.lit("pivot"), "class"), F.lit(slots)) < F.col("bound"))
+    at = F.row_number().over(Window.partitionBy("size").orderBy("class"))
+    found: dict[int, list] = {}
+    for r in picked.withColumn("at", at).filter("at <= most").orderBy("size", "class").collect():
+        found.setdefault(r.size, []).append(r.vector)
+    missing = [size for size in totals if size not in found]
+    if missing:
+        firsts = rows.join(F.broadcast(bounds.filter(F.col("size").isin(missing))), "size", "left_semi")
+        for r in firsts.groupBy("size").agg(F.min_by("vector", "class").alias("vector")).collect():
+            found[r.size] = [r.vector]
+    return {size: normal(np.array(vectors, float)) for size, vectors in found.items()}
 
 
 def normal(vectors: np.ndarray) -> np.ndarray:
@@ -110,21 +123,20 @@ def permutations(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
 def _near_classes(distinct: DataFrame, asked: DataFrame, settings: Settings) -> DataFrame:
     """class, other, score: the nearest classes of each asked class, itself among them."""
     spark = distinct.sparkSession
-    total = distinct.count()
-    if not total:
+    chosen = pivots(distinct, settings.pivots)
+    if not chosen:
         return distinct.select("class", F.col("class").alias("other"), F.lit(0.0).alias("score"))
-    chosen = pivots(distinct, pivot_count(total, settings.pivots), total)
     centres = spark.sparkContext.broadcast(chosen)
-    # How many parts each file has, from counts: at most one row for each pivot.
+    # How many parts each file has, from counts: at most one row for each pivot of each length.
     posted = written(_posted(distinct, centres, settings.posts), "postings")
-    sizes = posted.groupBy("file").agg((F.floor((F.count("*") - 1) / PART_ROWS) + 1).cast("int").alias("parts"))
+    sizes = posted.groupBy("size", "file").agg((F.floor((F.count("*") - 1) / PART_ROWS) + 1).cast("int").alias("parts"))
     sizes = F.broadcast(sizes)
-    entries = posted.join(sizes, "file").withColumn("part", F.pmod(F.xxhash64("class"), "parts").cast("int")).drop("parts").withColumn("kind", F.lit(1))
-    probing = _posted(asked, centres, settings.probes).join(sizes, "file").withColumn(
+    entries = posted.join(sizes, ["size", "file"]).withColumn("part", F.pmod(F.xxhash64("class"), "parts").cast("int")).drop("parts").withColumn("kind", F.lit(1))
+    probing = _posted(asked, centres, settings.probes).join(sizes, ["size", "file"]).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts").withColumn("kind", F.lit(0))
-    dealt = entries.unionByName(probing).repartition("file", "part").sortWithinPartitions("file", "part", "kind")
+    dealt = entries.unionByName(probing).repartition("size", "file", "part").sortWithinPartitions("size", "file", "part", "kind")
     schema = "class string, other string, vec_id long, score double"
-    found = dealt.select("file", "part", "kind", "class", "vec_id", "vector").mapInArrow(
+    found = dealt.select("size", "file", "part", "kind", "class", "vec_id", "vector").mapInArrow(
         lambda batches: _searched(batches, settings, schema), schema)
     found = found.groupBy("class", "other", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("class").orderBy(F.desc("score"), "vec_id")
@@ -133,20 +145,22 @@ def _near_classes(distinct: DataFrame, asked: DataFrame, settings: Settings) ->
 
 def _posted(rows: DataFrame, centres: Broadcast, files: int) -> DataFrame:
     """A row for each of the first `files` pivots of a vector."""
-    kinds = arrow_schema("class string, vec_id long, vector binary, file int")
+    kinds = arrow_schema("class string, vec_id long, vector binary, size int, file int")
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                vectors = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                firsts = permutations(vectors, centres.value)[:, :files].tolist()
+            lengths = batch.column(2).value_lengths()
+            for size in sorted(set(lengths.to_pylist())):
+                same = batch.filter(pc.equal(lengths, size))
+                vectors = same.column(2).flatten().to_numpy(zero_copy_only=False).reshape(same.num_rows, size)
+                firsts = permutations(vectors, centres.value[size])[:, :files].tolist()
                 yield record_batch([
-                    (name, vec_id, v.tobytes(), file) for name, vec_id, v, first in zip(
-                        batch.column(0).to_pylist(), batch.column(1).to_pylist(), vectors, firsts, strict=True)
+                    (name, vec_id, v.tobytes(), size, file) for name, vec_id, v, first in zip(
+                        same.column(0).to_pylist(), same.column(1).to_pylist(), vectors, firsts, strict=True)
                     for file in first], kinds)
 
     return rows.select("class", "vec_id", "vector").mapInArrow(
-        post, "class string, vec_id long, vector binary, file int")
+        post, "class string, vec_id long, vector binary, size int, file int")
 
 
 def _searched(batches: Iterator[pa.RecordBatch], settings: Settings, schema: str) -> Iterator[pa.RecordBatch]:
@@ -191,23 +205,23 @@ def _searched(batches: Iterator[pa.RecordBatch], settings: Settings, schema: str
         best.clear()
 
     for batch in batches:
-        files, parts, marks = (batch.column(i).to_numpy() for i in range(3))
-        edges = np.flatnonzero((np.diff(files) != 0) | (np.diff(parts) != 0) | (np.diff(marks) != 0)) + 1
+        sizes, files, parts, marks = (batch.column(i).to_numpy() for i in range(4))
+        edges = np.flatnonzero((np.diff(sizes) != 0) | (np.diff(files) != 0) | (np.diff(parts) != 0) | (np.diff(marks) != 0)) + 1
         for a, b in zip([0, *edges], [*edges, len(files)], strict=True):
             if a == b:
                 continue
-            if (files[a], parts[a]) != part:
+            if (sizes[a], files[a], parts[a]) != part:
                 yield from answers()
-                part, names, rows, worst = (files[a], parts[a]), [], [], np.empty(0)
+                part, names, rows, worst = (sizes[a], files[a], parts[a]), [], [], np.empty(0)
             piece = batch.slice(a, b - a)
-            vectors = np.frombuffer(b"".join(piece.column(5).to_pylist()), "<f8").reshape(len(piece), -1)
-            classes = np.array(piece.column(3).to_pylist(), object)
+            vectors = np.frombuffer(b"".join(piece.column(6).to_pylist()), "<f8").reshape(len(piece), -1)
+            classes = np.array(piece.column(4).to_pylist(), object)
             if marks[a] == 0:
                 names += classes.tolist()
                 rows += list(vectors)
                 worst = np.full(len(rows), -np.inf)
             else:
-                compared((classes, piece.column(4).to_numpy(), vectors))
+                compared((classes, piece.column(5).to_numpy(), vectors))
     yield from answers()
 
 

@@ -193,6 +193,14 @@ def test_small_vectors_are_searched_exactly(spark):
         assert searched(spark, few) == plain_search(few)
 
 
+def test_each_length_is_searched(spark):
+    tasks.prepare(spark)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=(6, 4, 4)[i % 3]).tolist()) for i in range(150)]
+    lengths = [[r for r in rows if len(r[1]) == n] for n in (4, 6)]
+    assert [r[:3] for r in searched(spark, rows)] == sorted(r[:3] for part in lengths for r in plain_search(part))
+
+
 def test_recall(spark, small):
     path = f"{small}/../sf0.1/embeddings.parquet"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(path).collect()]
