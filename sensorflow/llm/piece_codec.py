@@ -28,6 +28,8 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"  # fixed value: how such models write a blank
 KEPT_UNITS = 500_000
 KEPT_CHARS = 64
+SHORT = 64  # characters of a unit merged without a heap
+NEVER = float("inf")
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long, spanned_bytes long"
 PIECES = "doc_id long, ids array<long>, begins array<long>, ends array<long>, decoded string"
 
@@ -134,9 +136,8 @@ class Model:
     def encode(self, text: str, bos: bool = False, eos: bool = False) -> Encoding:
         """Ids as the library gives them, and the source bytes [begin, end) of each."""
         plain, source = self.normalizer.normalize(text)
-        parts = list(map(self.units.__getitem__, self._cut(plain)))
-        ids = np.frombuffer(b"".join([p[0] for p in parts]), "<u4")
-        ends = np.cumsum(np.frombuffer(b"".join([p[1] for p in parts]), "<u4"), dtype=np.int64)
+        made = np.frombuffer(b"".join(map(self.units.__getitem__, self._cut(plain))), "<u4")
+        ids, ends = made[::2], np.cumsum(made[1::2], dtype=np.int64)
         places = source[np.concatenate([[0], ends])]
         begins, ends = places[:-1], places[1:]
         last = len(text.encode())
@@ -146,7 +147,25 @@ class Model:
                         np.concatenate([np.zeros(len(head), np.int64), ends, np.full(len(tail), last)]).astype(np.int64))
 
     def merged(self, unit: str) -> list[str]:
-        """The best-scored neighbours merge first, equal ones from the left; a heap over a linked list of strings."""
+        """The best-scored neighbours merge first, equal ones from the left."""
+        return self._merged_short(unit) if len(unit) <= SHORT else self._merged_long(unit)
+
+    def _merged_short(self, unit: str) -> list[str]:
+        """By a look at all pairs for each merge."""
+        pieces, score = list(unit), self.score.get
+        ranks = [score(a + b, NEVER) for a, b in pairwise(unit)]
+        while ranks and (best := min(ranks)) != NEVER:
+            i = ranks.index(best)
+            pieces[i] += pieces.pop(i + 1)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = score(pieces[i - 1] + pieces[i], NEVER)
+            if i < len(ranks):
+                ranks[i] = score(pieces[i] + pieces[i + 1], NEVER)
+        return pieces
+
+    def _merged_long(self, unit: str) -> list[str]:
+        """By a heap over a linked list of strings, in n log n."""
         n, score = len(unit), self.score
         pieces: list[str] = list(unit)
         heap = [(score[p], i, 2) for i, p in enumerate(map("".join, pairwise(unit))) if p in score]
@@ -240,31 +259,41 @@ def _cutter(ids: dict[str, int]) -> Callable[[str], list[str]]:
     line ends and tabs from both sides, where the pieces of the model allow it.
     """
     longer = [p for p in ids if len(p) > 1]
-    lone = "".join(re.escape(c) for c in "\n\t\r" if not any(c in p for p in longer))
     if any(SPACE in p.lstrip(SPACE) for p in longer):
-        return lambda text: [text] if text else []
-    return re.compile(f"{SPACE}*[^{SPACE}{lone}]+|{SPACE}+" + (f"|[{lone}]" if lone else "")).findall
+        return lambda text: [text]
+    lone = [c for c in "\n\t\r" if not any(c in p for p in longer)]
+    find = re.compile(f"{SPACE}*[^{SPACE}{''.join(map(re.escape, lone))}]+|{SPACE}+" + (f"|[{''.join(map(re.escape, lone))}]" if lone else "")).findall
+
+    def cut(text: str) -> list[str]:
+        if SPACE * 2 in text or "\0" in text:
+            return find(text)
+        text = text.replace(SPACE, "\0" + SPACE)  # the same cuts, quicker; may leave empty units
+        for c in lone:
+            if c in text:
+                text = text.replace(c, f"\0{c}\0")
+        return text.split("\0")
+
+    return cut
 
 
 class Units(dict):
-    """unit -> its ids and the characters each one ends, both as little-endian 32-bit integers; bounded."""
+    """unit -> its ids, each with the characters it takes, as little-endian 32-bit integers; bounded."""
 
     def __init__(self, owner: Model):
         super().__init__()
         self.owner = owner
 
-    def __missing__(self, unit: str) -> tuple[bytes, bytes]:
-        ids, sizes = array("I"), array("I")
-        known, fallback = self.owner.ids, self.owner.bytes
+    def __missing__(self, unit: str) -> bytes:
+        pairs: list[int] = []
+        known, fallback = self.owner.ids.get, self.owner.bytes
         for piece in self.owner.merged(unit):
-            if (i := known.get(piece)) is not None:
-                ids.append(i)
-                sizes.append(len(piece))
+            if (i := known(piece)) is not None:
+                pairs += (i, len(piece))
             else:  # the bytes of one character: the last one has its span
-                data = piece.encode()
-                ids.extend(fallback[b] for b in data)
-                sizes.extend([0] * (len(data) - 1) + [1])
-        made = ids.tobytes(), sizes.tobytes()
+                for b in piece.encode():
+                    pairs += (fallback[b], 0)
+                pairs[-1] = 1
+        made = struct.pack(f"<{len(pairs)}I", *pairs)
         if len(unit) <= KEPT_CHARS:
             if len(self) >= KEPT_UNITS:
                 self.clear()
