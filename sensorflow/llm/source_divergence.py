@@ -8,12 +8,12 @@ from the sparse sums.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +23,11 @@ from sensorflow.llm import tasks
 from sensorflow.session import work_path
 
 MIN_DOCUMENTS = 10
-TERMS_IN_BLOCK = 1 << 17  # distinct terms, about: bounds a vocabulary
+TERMS_IN_BLOCK = 1 << 19  # about: bounds a vocabulary
 GROUPS_IN_BLOCK = 256  # sources of a language compared at once in a task
 TERMS_AT_ONCE = 1 << 12  # rows of terms a task sums in one step
 TOP = 10
 UNIT = 1_000_000_000
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top: int = TOP, terms_in_block: int = TERMS_IN_BLOCK,
@@ -71,15 +69,17 @@ def _distance(p: str, q: str) -> Column:
 def group_counts(docs: DataFrame, min_documents: int, terms_in_block: int) -> tuple[DataFrame, DataFrame]:
     """(lang, source, term_id, count) of kept terms, and the terms by term_id: both written tables."""
     spark = docs.sparkSession
-    lowered = F.translate("text", _UPPER, _LOWER)
-    distinct = docs.select("lang", F.explode(F.regexp_extract_all(lowered, F.lit(_TERM), F.lit(0))).alias("term"))
-    blocks = 1 + distinct.agg(F.approx_count_distinct(F.xxhash64("lang", "term"))).first()[0] // terms_in_block
-    tokens = work_path(spark, "tokens")
-    cut(docs, blocks).write.partitionBy("block").parquet(tokens)
+    tokens = tasks.written(tokenized(docs), "tokens")
+    often = tokens.select(F.explode("tokens").alias("t")).groupBy(F.xxhash64("t")).count().filter(F.col("count") >= min_documents).count()
+    blocks = 1 + often // terms_in_block  # what occurs less often than that is in no vocabulary
+    tokens = tokens.withColumn("block", F.lit(0))
+    if blocks > 1:
+        path = work_path(spark, "blocks")
+        dealt(tokens, blocks).write.partitionBy("block").parquet(path)
+        tokens = spark.read.schema("lang string, source string, tokens array<string>, block int").parquet(path)
     vectors, names = work_path(spark, "vectors"), work_path(spark, "terms")
     for block in range(blocks):
-        own = spark.read.schema("lang string, source string, tokens array<string>, block int").parquet(tokens).filter(F.col("block") == block)
-        _vectors(own, block, min_documents, vectors, names)
+        _vectors(tokens.filter(F.col("block") == block), block, min_documents, vectors, names)
     sparse = "struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
     stored = spark.read.schema(f"lang string, source string, block int, counts {sparse}").parquet(vectors)
     each = stored.select("lang", "source", "block", F.explode(F.arrays_zip("counts.indices", "counts.values")).alias("e"))
@@ -88,38 +88,68 @@ def group_counts(docs: DataFrame, min_documents: int, terms_in_block: int) -> tu
     return tasks.written(summed, "counts"), spark.read.schema("term_id long, term string").parquet(names)
 
 
-def cut(docs: DataFrame, blocks: int) -> DataFrame:
-    """lang, source, tokens and block: one row for each document and block it has terms of; a token is term, NUL, lang."""
+def tokenized(docs: DataFrame) -> DataFrame:
+    """lang, source and the tokens of every document; a token is term, NUL, lang. Whole Arrow batches at once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                texts, langs, sources = batch.columns
+                yield pa.record_batch([langs, sources, tokens_of(texts, langs)], schema=kinds)
+
+    schema = "lang string, source string, tokens array<string>"
+    kinds = tasks.arrow_schema(schema)
+    return docs.select("text", "lang", "source").mapInArrow(run, schema)
+
+
+def tokens_of(texts: pa.Array, langs: pa.Array) -> pa.Array:
+    """Terms are runs of bytes other than 0x00-0x40, 0x5B-0x60 and 0x7B-0x7F: those become blanks, of which texts are cut."""
+    texts = texts.cast(pa.large_string())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    plain = (bytes(memoryview(data)[ends[0]:ends[-1]]) if data else b"").translate(_BYTES)
+    plain = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer((ends - ends[0]).tobytes()), pa.py_buffer(plain))
+    cut = pc.ascii_split_whitespace(plain)
+    terms = cut.flatten()
+    real = pc.greater(pc.binary_length(terms), 0).to_numpy(zero_copy_only=False)  # blanks at either end leave empty ones
+    before = np.concatenate([[0], np.cumsum(real)])[np.asarray(cut.offsets) - cut.offsets[0].as_py()]
+    own = langs.take(pa.array(np.repeat(np.arange(len(texts)), np.diff(before))))
+    tokens = pc.binary_join_element_wise(terms.filter(pa.array(real)).cast(pa.string()), own.cast(pa.string()), "\0")
+    return pa.ListArray.from_arrays(pa.array(before, pa.int32()), tokens)
+
+
+_BYTES = bytes(32 if b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F else b + 32 if b < 0x5B else b for b in range(256))
+
+
+def dealt(tokens: DataFrame, blocks: int) -> DataFrame:
+    """One row for each document and block it has tokens of."""
     def make():
-        find, lower = re.compile(_TERM).findall, str.maketrans(_UPPER, _LOWER)
         place = _Places(blocks)
 
-        def step(texts, langs, sources):
-            for text, lang, source in zip(texts, langs, sources, strict=True):
+        def step(langs, sources, documents):
+            for lang, source, document in zip(langs, sources, documents, strict=True):
                 parts: dict[int, list[str]] = {}
-                end = "\0" + lang
-                for term in find(text.translate(lower)):
-                    parts.setdefault(place[term], []).append(term + end)
-                for block, tokens in parts.items():
-                    yield lang, source, tokens, block
+                for token in document:
+                    parts.setdefault(place[token], []).append(token)
+                for block, own in parts.items():
+                    yield lang, source, own, block
         return step
 
-    return tasks.map_rows(docs, ["text", "lang", "source"], "lang string, source string, tokens array<string>, block int", make)
+    return tasks.map_rows(tokens, ["lang", "source", "tokens"], "lang string, source string, tokens array<string>, block int", make)
 
 
 class _Places(dict):
-    """term -> block; bounded, so a worker's memory does not grow with its input."""
+    """token -> block; bounded, so a worker's memory does not grow with its input."""
 
     def __init__(self, blocks: int):
         super().__init__()
         self.blocks = blocks
 
-    def __missing__(self, term: str) -> int:
-        made = zlib.crc32(term.encode()) % self.blocks
-        if len(term) <= 64:
+    def __missing__(self, token: str) -> int:
+        made = zlib.crc32(token.encode()) % self.blocks
+        if len(token) <= 64:
             if len(self) >= 200_000:
                 self.clear()
-            self[term] = made
+            self[token] = made
         return made
 
 

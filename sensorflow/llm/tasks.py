@@ -17,16 +17,18 @@ import sensorflow
 from sensorflow.session import work_path
 
 BATCH_ROWS = 1000
+BATCH_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Texts are long: hand fewer rows at a time to Python than the default of 10,000."""
+    """Texts are long: hand fewer rows and bytes at a time to Python than the defaults of 10,000 rows, any number of bytes."""
     environment = spark.sparkContext.environment  # of the Python workers, which must find this package as the driver did
     root = os.path.dirname(os.path.dirname(os.path.abspath(sensorflow.__file__)))
     if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), root]))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
