@@ -1,9 +1,9 @@
 """How far the sources of a language differ in their words, term by term and pair by pair, in exact arithmetic.
 
-`CountVectorizer` makes sparse term counts of every document. A token carries its language, so one model holds the vocabulary
-of each language by itself, with its document frequencies; terms are dealt to blocks by hash, one model a block, so that no
-vocabulary, on the driver or broadcast, is larger than a block. Vectors are summed by group, and pairs of groups are evaluated
-from the sparse sums.
+A token carries its language, so document frequencies and the vocabulary are those of each language by itself. The frequencies
+are one aggregate over the distinct tokens of each document; the tokens kept are dealt to blocks by hash, and a `CountVectorizer`
+without a limit is fitted to each block, so that no vocabulary, on the driver or broadcast, is larger than a block. Its models
+make sparse counts of every document, which are summed by group, and pairs of groups are evaluated from the sparse sums.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
@@ -26,6 +27,7 @@ MIN_DOCUMENTS = 10
 TERMS_IN_BLOCK = 1 << 19  # about: bounds a vocabulary
 GROUPS_IN_BLOCK = 256  # sources of a language compared at once in a task
 TERMS_AT_ONCE = 1 << 12  # rows of terms a task sums in one step
+HELD = 1 << 22  # entries of vectors a task adds up before they leave
 TOP = 10
 UNIT = 1_000_000_000
 
@@ -55,9 +57,11 @@ def audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top: int = TOP, t
 
 
 def _share(count: Column, n: Column, v: Column) -> Column:
-    """1 + floor(UNIT * (count + 2) / (n + 2 v)), 0 without kept terms; decimals, as the product can leave 64 bits."""
-    over = n.cast("decimal(20,0)") + 2 * v
-    return F.when(over == 0, F.lit(0).cast("long")).otherwise(1 + F.call_function("div", (count.cast("decimal(20,0)") + 2) * UNIT, over))
+    """1 + floor(UNIT * (count + 2) / (n + 2 v)), 0 without kept terms; by decimals where the product can leave 64 bits."""
+    over = n.cast("long") + 2 * v
+    small = F.call_function("div", (count.cast("long") + 2) * UNIT, over)
+    large = F.call_function("div", (count.cast("decimal(20,0)") + 2) * UNIT, over.cast("decimal(20,0)"))
+    return F.when(over == 0, F.lit(0).cast("long")).when(count < 1 << 32, 1 + small).otherwise(1 + large)
 
 
 def _distance(p: str, q: str) -> Column:
@@ -70,33 +74,35 @@ def group_counts(docs: DataFrame, min_documents: int, terms_in_block: int) -> tu
     """(lang, source, term_id, count) of kept terms, and the terms by term_id: both written tables."""
     spark = docs.sparkSession
     tokens = tasks.written(tokenized(docs), "tokens")
-    often = tokens.select(F.explode("tokens").alias("t")).groupBy(F.xxhash64("t")).count().filter(F.col("count") >= min_documents).count()
-    blocks = 1 + often // terms_in_block  # what occurs less often than that is in no vocabulary
-    tokens = tokens.withColumn("block", F.lit(0))
+    kept = tokens.select(F.explode("terms").alias("token")).groupBy("token").count().filter(F.col("count") >= min_documents)
+    kept = tasks.written(kept.select("token"), "kept")
+    blocks = 1 + kept.count() // terms_in_block
+    of_token = F.pmod(F.crc32(F.col("token").cast("binary")), F.lit(blocks))
+    tokens = tokens.select("lang", "source", F.concat("terms", "more").alias("tokens"), F.lit(0).alias("block"))
     if blocks > 1:
         path = work_path(spark, "blocks")
         dealt(tokens, blocks).write.partitionBy("block").parquet(path)
         tokens = spark.read.schema("lang string, source string, tokens array<string>, block int").parquet(path)
-    vectors, names = work_path(spark, "vectors"), work_path(spark, "terms")
+    sums, names = work_path(spark, "counts"), work_path(spark, "terms")
     for block in range(blocks):
-        _vectors(tokens.filter(F.col("block") == block), block, min_documents, vectors, names)
-    sparse = "struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
-    stored = spark.read.schema(f"lang string, source string, block int, counts {sparse}").parquet(vectors)
-    each = stored.select("lang", "source", "block", F.explode(F.arrays_zip("counts.indices", "counts.values")).alias("e"))
-    summed = (each.groupBy("lang", "source", (F.col("block").cast("long") * (1 << 32) + F.col("e.indices")).alias("term_id"))
-              .agg(F.sum(F.col("e.values").cast("long")).alias("count")))
-    return tasks.written(summed, "counts"), spark.read.schema("term_id long, term string").parquet(names)
+        vocabulary = kept.filter(of_token == block).select(F.array("token").alias("tokens"))
+        _count(tokens.filter(F.col("block") == block), vocabulary, block, sums, names)
+    read = spark.read
+    return read.schema("lang string, source string, term_id long, count long").parquet(sums), read.schema("term_id long, term string").parquet(names)
 
 
 def tokenized(docs: DataFrame) -> DataFrame:
-    """lang, source and the tokens of every document; a token is term, NUL, lang. Whole Arrow batches at once."""
+    """lang, source, the distinct tokens of every document (terms) and their further occurrences (more).
+
+    A token is term, NUL, lang. Whole Arrow batches are cut at once.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 texts, langs, sources = batch.columns
-                yield pa.record_batch([langs, sources, tokens_of(texts, langs)], schema=kinds)
+                yield pa.record_batch([langs, sources, *first_and_more(tokens_of(texts, langs))], schema=kinds)
 
-    schema = "lang string, source string, tokens array<string>"
+    schema = "lang string, source string, terms array<string>, more array<string>"
     kinds = tasks.arrow_schema(schema)
     return docs.select("text", "lang", "source").mapInArrow(run, schema)
 
@@ -117,6 +123,20 @@ def tokens_of(texts: pa.Array, langs: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(before, pa.int32()), tokens)
 
 
+def first_and_more(tokens: pa.ListArray) -> tuple[pa.Array, pa.Array]:
+    """Of each list the first of equal tokens, and all others."""
+    flat, ends = tokens.flatten(), np.asarray(tokens.offsets)
+    coded = flat.dictionary_encode()
+    row = np.repeat(np.arange(len(tokens)), np.diff(ends))
+    again = pd.Series(row * np.int64(max(len(coded.dictionary), 1)) + coded.indices.to_numpy()).duplicated().to_numpy()
+
+    def those(chosen: np.ndarray) -> pa.Array:
+        cut = np.concatenate([[0], np.cumsum(chosen)])[ends]
+        return pa.ListArray.from_arrays(pa.array(cut, pa.int32()), flat.filter(pa.array(chosen)))
+
+    return those(~again), those(again)
+
+
 _BYTES = bytes(32 if b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F else b + 32 if b < 0x5B else b for b in range(256))
 
 
@@ -153,25 +173,65 @@ class _Places(dict):
         return made
 
 
-def _vectors(tokens: DataFrame, block: int, min_documents: int, vectors: str, names: str) -> None:
-    """Adds the block's sparse document vectors and its vocabulary to two tables."""
+def _count(tokens: DataFrame, vocabulary: DataFrame, block: int, sums: str, names: str) -> None:
+    """Adds a block's group sums and its terms to two tables."""
     spark = tokens.sparkSession
-    if tokens.isEmpty():
-        vocabulary = []
+    terms: list[str] = []
+    if not vocabulary.isEmpty():
+        model = CountVectorizer(inputCol="tokens", outputCol="counts", vocabSize=(1 << 31) - 1).fit(vocabulary)
+        terms = model.vocabulary
+        summed = group_sums(model.transform(tokens).select("lang", "source", "counts"))
+        summed = summed.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"))
     else:
-        model = CountVectorizer(inputCol="tokens", outputCol="counts", minDF=float(min_documents), vocabSize=(1 << 31) - 1).fit(tokens)
-        vocabulary = model.vocabulary
-    if vocabulary:
-        model.transform(tokens).select("lang", "source", "block", "counts").write.mode("append").parquet(vectors)
-    else:  # nothing kept: the tables still exist
-        tokens.filter("false").selectExpr(
-            "lang", "source", "block", "named_struct('type', 0Y, 'size', 0, 'indices', array(0), 'values', array(0D)) AS counts",
-        ).write.mode("append").parquet(vectors)
-    kept = pa.table({"term_id": pa.array([block << 32 | i for i in range(len(vocabulary))], pa.int64()),
-                     "term": pa.array([t.split("\0", 1)[0] for t in vocabulary], pa.string())})
+        summed = tokens.filter("false").selectExpr("lang", "source", "0L AS term", "0L AS count")
+    summed.select("lang", "source", (F.lit(block << 32) + F.col("term")).alias("term_id"), "count").write.mode("append").parquet(sums)
+    kept = pa.table({"term_id": pa.array(range(block << 32, (block << 32) + len(terms)), pa.int64()),
+                     "term": pa.array([t.split("\0", 1)[0] for t in terms], pa.string())})
     spark.createDataFrame(kept).write.mode("append").parquet(names)
 
 
+def group_sums(vectors: DataFrame) -> DataFrame:
+    """Sums of sparse vectors by (lang, source), added up in a task before they leave: lang, source, term, count."""
+    schema = "lang string, source string, term long, count long"
+    kinds = tasks.arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[tuple[str, str], int] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        room = HELD
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            counts = np.zeros(len(keys), np.int64)
+            np.add.at(counts, at, np.concatenate([c for _, c in held]))
+            return keys, counts
+
+        def leave(keys, counts):
+            named = [pa.array([g[i] for g in groups], pa.string()) for i in (0, 1)]
+            for a in range(0, len(keys), 1 << 16):
+                group, term = np.divmod(keys[a:a + (1 << 16)], 1 << 32)
+                yield pa.record_batch([*(n.take(pa.array(group)) for n in named), pa.array(term), pa.array(counts[a:a + (1 << 16)])], schema=kinds)
+
+        for batch in batches:
+            langs, sources, counts = batch.columns
+            number = np.array([groups.setdefault(g, len(groups)) for g in zip(langs.to_pylist(), sources.to_pylist(), strict=True)], np.int64)
+            terms, values = counts.field("indices"), counts.field("values")
+            sizes = np.diff(np.asarray(terms.offsets))
+            key = np.repeat(number << 32, sizes) + terms.flatten().to_numpy()
+            held.append((key, values.flatten().to_numpy().astype(np.int64)))
+            room -= len(key)
+            if room < 0:
+                held = [summed()]
+                room = HELD - len(held[0][0])
+                if room < HELD // 2:
+                    yield from leave(*held.pop())
+                    room, groups = HELD, {}
+        if held:
+            yield from leave(*summed())
+
+    return vectors.mapInArrow(run, schema)
+
+
 # --- pairs of sources -------------------------------------------------------------------------------------------------
 
 def pairs(spark: SparkSession, shares: DataFrame, groups: DataFrame, width: int, at_once: int) -> DataFrame:
@@ -304,7 +364,8 @@ class _BlockPair:
 def leading(shares: DataFrame, whole: DataFrame, terms: DataFrame, top: int) -> DataFrame:
     """Part `term`: the terms with the largest divergence among those a source has a larger share of than its language."""
     rows = shares.join(whole, ["lang", "term_id"]).withColumn("q", _share(F.col("whole"), F.col("all_n"), F.col("v")))
-    rows = rows.filter("p > q").select("lang", "source", "term_id", _distance("p", "q").alias("value")).join(terms, "term_id")
-    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "term")
-    ranked = rows.withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= top)
-    return ranked.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
+    rows = rows.filter("p > q").select("lang", "source", "term_id", _distance("p", "q").alias("value"))
+    by = Window.partitionBy("lang", "source")
+    rows = rows.withColumn("at", F.rank().over(by.orderBy(F.desc("value")))).filter(F.col("at") <= top)  # ties go on: names decide
+    rows = rows.join(terms, "term_id").withColumn("rank", F.row_number().over(by.orderBy(F.desc("value"), "term")).cast("int"))
+    return rows.filter(F.col("rank") <= top).select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
