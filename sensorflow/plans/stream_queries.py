@@ -1,5 +1,7 @@
 """Queries over sinks and streams. A stream runs over all available input and is read back as a table."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +13,10 @@ from sensorflow.plans.source_queries import _VALID, FIELDS
 from sensorflow.schema import CODEC_BY_LAYER
 from sensorflow.session import work_path
 from sensorflow.sinks import layers
+from sensorflow.sinks.snapshots import SnapshotFanOut
 from sensorflow.sources import files, topics
 from sensorflow.sources.tables import Tables, messages, readings
-from sensorflow.streaming import jobs
+from sensorflow.streaming import alarms, jobs
 
 _CLASS = f"""CASE WHEN DeviceId IS NULL OR NOT ({' AND '.join(_VALID.values())}) THEN 'invalid'
     WHEN coalesce(isFail, false) THEN 'failed' ELSE 'normal' END"""
@@ -292,6 +295,39 @@ def stream_two_checkpoints(t: Tables) -> DataFrame:
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
+@query("no_data_alarms", """
+WITH spaced AS (SELECT DeviceId, event_time AS silent_from, lead(event_time) OVER (PARTITION BY DeviceId ORDER BY event_time) AS back
+  FROM readings WHERE DeviceId IS NOT NULL)
+SELECT DeviceId, 'silent' AS kind, silent_from + INTERVAL 8 MINUTE AS "at", silent_from FROM spaced
+WHERE back IS NULL OR back - silent_from >= INTERVAL 8 MINUTE
+UNION ALL SELECT DeviceId, 'resumed', back, silent_from FROM spaced WHERE back - silent_from >= INTERVAL 8 MINUTE""")
+def no_data_alarms(t: Tables) -> DataFrame:
+    """State and timers of each device; the query goes on from its checkpoint with a tick after the last reading."""
+    return whole(t, alarms.no_data_alarms, "no-data")
+
+
+@query("stream_snapshot_layers", """
+SELECT 'raw' AS layer, count(*) * 2 AS readings FROM readings UNION ALL
+SELECT 'raw, first version', count(*) FROM readings UNION ALL
+SELECT 'processed', count(*) FROM (SELECT DISTINCT DeviceId, event_id FROM readings WHERE DeviceId IS NOT NULL) UNION ALL
+SELECT 'processed, device 1', count(*) FROM (SELECT DISTINCT event_id FROM readings WHERE DeviceId = 1) UNION ALL
+SELECT 'processed, packed', count(*) FROM (SELECT DISTINCT DeviceId, event_id FROM readings WHERE DeviceId IS NOT NULL) UNION ALL
+SELECT 'quality', count(*) * 2 FROM readings WHERE DeviceId IS NOT NULL""")
+def stream_snapshot_layers(t: Tables) -> DataFrame:
+    """The same readings by two queries with checkpoints of their own, the first started twice, in one set of snapshots."""
+    root = work_path(t.spark, "snapshots")
+    fan = SnapshotFanOut(f"{root}/layers", ("DeviceId", "event_id"), ("event_time",), buckets=2)
+    for name in ("a", "a", "b"):
+        jobs.to_end(jobs.each_batch(live(t), fan, f"{root}/checkpoint-{name}", every=None))
+    held = fan.snapshots(t.spark)
+    tables = {"raw": held.read("raw"), "raw, first version": held.read("raw", 1), "processed": held.read("processed"),
+              "processed, device 1": held.read("processed", DeviceId=1), "quality": held.read("quality")}
+    held.compact("processed")
+    tables["processed, packed"] = held.read("processed")
+    found = [df.agg(F.count("*").alias("readings")).select(F.lit(n).alias("layer"), "readings") for n, df in tables.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("live_throughput", """
 SELECT time_bucket(INTERVAL 1 MINUTE, event_time) AS window_start, count(*) AS messages,
   round(count(*) / 60.0::DOUBLE, 6) AS messages_per_second FROM readings GROUP BY 1""")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -28,6 +29,14 @@ def build_session(app: str = "sensorflow", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
+def share_package(spark: SparkSession) -> None:
+    """Python workers find this package where the driver did."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), root]))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach. Only a local session may fall back to a folder of this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -108,18 +108,14 @@ def each_batch(df: DataFrame, handler: Callable[[DataFrame, int, str], None], ch
                every: str | None = TRIGGER_BY_SINK["processed"], mode: str = "append") -> StreamingQuery:
     """Runs a handler (`FanOut`, `UpsertLog`) on every micro-batch; this is also where update mode belongs.
 
-    The handler is told the id of the query. It is kept in the checkpoint: the same after a restart, another for a new
+    The handler is told the id of the query, which Spark keeps in the checkpoint: the same after a restart, another for a new
     checkpoint."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        handler(batch, batch_id, run_id(batch.sparkSession, checkpoint))
+        handler(batch, batch_id, batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"))
 
     return _writer(df, checkpoint, every, mode).foreachBatch(handle).start()
 
 
-def run_id(spark: SparkSession, checkpoint: str) -> str:
-    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
-
-
 def to_end(query: StreamingQuery) -> StreamingQuery:
     query.awaitTermination()
     return query
