@@ -2,21 +2,25 @@
 
 A window partitioned by device alone would sort and walk each device in a single task, and one device may hold a
 third of all rows. Here the order of a device is cut into *chunks*, windows run inside a chunk, and what a chunk
-needs from earlier ones (last value, running total, last n rows) comes from a small table with one row per chunk:
+needs from earlier ones (last value, running total, last n rows) is folded level by level:
 
-    rows --partial aggregate--> one row per chunk --window per device--> carry --join on the chunk--> rows
+    rows --partial aggregate--> chunks --aggregate--> groups of chunks --window per device--> what lies before a group
+    rows <--join on the chunk-- what lies before a chunk <--join on the group-- window per group
 
-Rows are shuffled once, by chunk: the join with the carry table and the window want the same partitioning. A chunk is
-a fixed span of the order (an hour, say). Spans with too many rows are split further at sampled sort keys, so that
-neither a hot span nor many copies of one instant end up in one task. Where the splits fall only affects balance;
-every result is exact for any choice of chunks.
+No task holds the chunks of a device: a group has those of 256 cells, and a device one row per group. Rows are shuffled once, by
+chunk: the join with the carry and the window want the same partitioning.
+
+A cell is a fixed span of the order (an hour, say). Cells with many rows are cut further at the keys of a sample, every
+64th of about 64 per `max_rows` rows, so the number of chunks grows with the rows and neither a hot span nor many copies of
+one instant end up in one task. The sample is picked by hash, so a plan that looks twice finds the same cuts; where they fall
+only affects balance, and every result is exact for any choice of chunks. Nothing runs before the result is asked for.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
-from math import ceil, isqrt
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
@@ -25,9 +29,53 @@ from pyspark.sql import functions as F
 from sensorflow.functions.basic import micros
 
 CHUNK = ("_cell", "_part")
-MAX_SPLITS = 4096
 SAMPLES_PER_SPLIT = 64
 HOUR = 3_600_000_000
+FAN = 8  # bits: 256 cells in a group
+
+
+@dataclass(frozen=True)
+class Fold:
+    """How summaries of consecutive chunks become one. `total` folds a group (an aggregate that is given the column and its
+    order), `before` folds the neighbours in front (over a window), `both` joins a fold with the one behind it."""
+
+    total: Callable[[Column, Column], Column]
+    before: Callable[[Column, WindowSpec], Column]
+    both: Callable[[Column, Column], Column]
+
+
+SUM = Fold(
+    total=lambda c, order: F.sum(c),
+    before=lambda c, w: F.sum(c).over(w.rowsBetween(W.unboundedPreceding, -1)),
+    both=lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+LAST = Fold(
+    total=lambda c, order: F.max_by(c, F.when(c.isNotNull(), order)),
+    before=lambda c, w: F.last(c, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1)),
+    both=lambda a, b: F.coalesce(b, a))
+
+
+def last_rows(n: int) -> Fold:
+    """The last n of lists of rows, of which none is empty."""
+    def newest(lists: Column) -> Column:
+        rows = F.flatten(lists)
+        return F.slice(rows, F.greatest(F.size(rows) - n + 1, F.lit(1)), n)
+
+    return Fold(
+        total=lambda c, order: newest(F.transform(F.sort_array(F.collect_list(F.struct(order.alias("at"), c.alias("rows")))), lambda x: x["rows"])),
+        before=lambda c, w: newest(F.collect_list(c).over(w.rowsBetween(-n, -1))),
+        both=lambda a, b: newest(F.filter(F.array(a, b), lambda x: x.isNotNull())))
+
+
+def scan(per_chunk: DataFrame, key: str, folds: dict[str, Fold]) -> DataFrame:
+    """Key, cell, part and, for every summary, the fold of all chunks of the key before this one."""
+    grouped = per_chunk.withColumn("_group", F.shiftright("_cell", FAN))
+    order = F.struct(*CHUNK)
+    groups = grouped.groupBy(key, "_group").agg(*(f.total(F.col(n), order).alias(n) for n, f in folds.items()))
+    device, group = W.partitionBy(key).orderBy("_group"), W.partitionBy(key, "_group").orderBy(*CHUNK)
+    ahead = groups.select(key, "_group", *(f.before(F.col(n), device).alias(f"_ahead{n}") for n, f in folds.items()))
+    inside = grouped.select(key, "_group", *CHUNK, *(f.before(F.col(n), group).alias(n) for n, f in folds.items()))
+    both = {n: f.both(F.col(f"_ahead{n}"), F.col(n)) for n, f in folds.items()}
+    return inside.join(ahead, [key, "_group"]).withColumns(both).drop("_group", *(f"_ahead{n}" for n in folds))
 
 
 @dataclass(frozen=True)
@@ -53,14 +101,10 @@ class Chunks:
         """A plain number where no tie is needed, which keeps the aggregates over it in hash tables."""
         return F.struct(*self.order) if self.tie else F.col("_pos")
 
-    def across(self) -> WindowSpec:
-        """All earlier chunks of the device, on a table with one row per chunk."""
-        return W.partitionBy(self.key).orderBy(*CHUNK).rowsBetween(W.unboundedPreceding, -1)
-
-    def carry(self, summaries: dict[str, Column], onward: Callable[[Column], Column]) -> Chunks:
-        """Adds, to every row, each summary of the earlier chunks folded by `onward` (last, sum, ...)."""
-        per_chunk = self.df.groupBy(*self.columns).agg(*(c.alias(n) for n, c in summaries.items()))
-        carried = per_chunk.select(*self.columns, *(onward(F.col(n)).over(self.across()).alias(n) for n in summaries))
+    def carry(self, summaries: dict[str, tuple[Column, Fold]]) -> Chunks:
+        """Adds, to every row, each summary of its chunk's predecessors, folded."""
+        per_chunk = self.df.groupBy(*self.columns).agg(*(c.alias(n) for n, (c, _) in summaries.items()))
+        carried = scan(per_chunk, self.key, {n: f for n, (_, f) in summaries.items()})
         return replace(self, df=self.df.join(carried, self.columns, "left"))
 
     def result(self, *helpers: str) -> DataFrame:
@@ -71,62 +115,52 @@ def chunked(df: DataFrame, time: str = "event_time", key: str = "DeviceId", tie:
             span: int = HOUR, max_rows: int | None = 5_000_000, position: Column | None = None) -> Chunks:
     """Cuts the order of every `key` into chunks. The order is `time` (span in microseconds) or `position`, any
     whole-number expression (span in its unit); `tie` orders rows of equal position. Rows without key or position
-    have no place in an order and are left out. `max_rows` None skips the look for spans with too many rows."""
+    have no place in an order and are left out. `max_rows` None leaves cells whole."""
     placed = df.withColumn("_pos", micros(time) if position is None else position)
     placed = placed.filter(F.col(key).isNotNull() & F.col("_pos").isNotNull())
-    placed = placed.withColumn("_cell", F.floor(F.col("_pos") / F.lit(span)))
+    # Never NULL, and known to be: no inferred filter then makes two readings of the chunks differ, which are done as one.
+    placed = placed.withColumn("_cell", F.coalesce(F.floor(F.col("_pos") / F.lit(span)), F.lit(0)))
     chunks = Chunks(placed.withColumn("_part", F.lit(0)), key, tie)
-    hot, limit = hot_cells(placed, key, max_rows) if max_rows else ([], 0)
-    if hot:
-        chunks = replace(chunks, df=_split(placed, chunks, hot, limit))
-    return chunks
-
+    return replace(chunks, df=_split(placed, chunks, max_rows)) if max_rows else chunks
 
-def hot_cells(placed: DataFrame, key: str, max_rows: int) -> tuple[list, int]:
-    """Cells above the row limit. The limit is at least a 4096th of all rows, so at most 4096 cells are listed."""
-    counts = placed.groupBy(key, "_cell").agg(F.count("*").alias("n"))
-    total, top = counts.agg(F.sum("n"), F.max("n")).first()
-    limit = max(max_rows, ceil((total or 0) / MAX_SPLITS))
-    if top is None or top <= limit:
-        return [], limit
-    return counts.filter(F.col("n") > limit).select(key, "_cell").collect(), limit
 
+def _split(placed: DataFrame, chunks: Chunks, max_rows: int) -> DataFrame:
+    """Cuts each cell at every 64th key of a sample that holds about 64 keys per `max_rows` rows; most cells have none.
 
-def _split(placed: DataFrame, chunks: Chunks, hot: list, limit: int) -> DataFrame:
-    """Splits hot cells at every 64th key of a sample that holds about 64 keys per `limit` rows."""
+    The cuts are broadcast: about one key per `max_rows` rows, 5 MB for 10^12 rows.
+    """
     key, order = chunks.key, chunks.order
-    cells = placed.sparkSession.createDataFrame(hot, placed.select(key, "_cell").schema)
-    chance = min(1.0, SAMPLES_PER_SPLIT / limit)
+    chance = min(1.0, SAMPLES_PER_SPLIT / max_rows)
     in_sample = F.pmod(F.xxhash64(*order), F.lit(1 << 30)) < F.lit(ceil(chance * (1 << 30)))
-    sample = placed.filter(in_sample).join(F.broadcast(cells), [key, "_cell"]).select(key, "_cell", *order)
     # Distinct keys only: a split between equal keys would order nothing.
-    ranked = sample.distinct().withColumn("_rank", F.row_number().over(W.partitionBy(key, "_cell").orderBy(*order)))
+    sample = placed.filter(in_sample).select(key, "_cell", *order).distinct()
+    ranked = sample.withColumn("_rank", F.row_number().over(W.partitionBy(key, "_cell").orderBy(*order)))
     splits = ranked.filter(F.col("_rank") % SAMPLES_PER_SPLIT == 0)
     per_cell = splits.groupBy(key, "_cell").agg(F.sort_array(F.collect_list(chunks.sort_key())).alias("_splits"))
     # Two levels (blocks of about the root of their number) keep the search short for a cell with many splits.
-    width = F.lit(isqrt(MAX_SPLITS))
+    per_cell = per_cell.withColumn("_width", F.ceil(F.sqrt(F.size("_splits"))).cast("int"))
     blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size("_splits") - 1) / width).cast("int")),
-        lambda i: F.slice("_splits", i * width + 1, width),
+        F.sequence(F.lit(0), F.floor((F.size("_splits") - 1) / F.col("_width")).cast("int")),
+        lambda i: F.slice("_splits", i * F.col("_width") + 1, F.col("_width")),
     )
-    per_cell = per_cell.select(key, "_cell", blocks.alias("_blocks")).withColumn(
+    per_cell = per_cell.select(key, "_cell", "_width", blocks.alias("_blocks")).withColumn(
         "_heads", F.transform("_blocks", lambda b: b[0]))
-    # The sample is sized for about MAX_SPLITS keys in total, however large the table is, hence the broadcast.
     searched = placed.join(F.broadcast(per_cell), [key, "_cell"], "left")
     here = chunks.sort_key()
     block = F.size(F.filter("_heads", lambda h: h <= here))
     inside = F.size(F.filter(F.get("_blocks", block - 1), lambda s: s <= here))
-    part = F.when(block > 0, (block - 1) * width + inside).otherwise(0)
+    part = F.when(block > 0, (block - 1) * F.col("_width") + inside).otherwise(0)
     part = F.when(F.col("_heads").isNull(), 0).otherwise(part)
-    return searched.withColumn("_part", part.cast("int")).drop("_blocks", "_heads")
+    return searched.withColumn("_part", F.coalesce(part.cast("int"), F.lit(0))).drop("_blocks", "_heads", "_width")
 
 
 def previous(chunks: Chunks, columns: dict[str, str]) -> Chunks:
     """Value of each column in the row before, across chunks: {new name: column}."""
-    chunks = chunks.carry({f"_last_{n}": F.max_by(c, chunks.sort_key()) for n, c in columns.items()}, F.last)
+    # In a struct: the last row of a chunk counts even where its value is NULL.
+    chunks = chunks.carry({f"_last_{n}": (F.max_by(F.struct(F.col(c).alias("v")), chunks.sort_key()), LAST) for n, c in columns.items()})
     first = F.row_number().over(chunks.window()) == 1
     before = {
-        n: F.when(first, F.col(f"_last_{n}")).otherwise(F.lag(c).over(chunks.window())) for n, c in columns.items()
+        n: F.when(first, F.col(f"_last_{n}.v")).otherwise(F.lag(c).over(chunks.window())) for n, c in columns.items()
     }
     return replace(chunks, df=chunks.df.withColumns(before).drop(*(f"_last_{n}" for n in columns)))
 
@@ -135,9 +169,9 @@ def fill_forward(chunks: Chunks, columns: Iterable[str]) -> Chunks:
     """Replaces NULL by the last value before it, across chunks."""
     columns = list(columns)
     summaries = {
-        f"_last_{c}": F.max_by(F.col(c), F.when(F.col(c).isNotNull(), chunks.sort_key())) for c in columns
+        f"_last_{c}": (F.max_by(F.col(c), F.when(F.col(c).isNotNull(), chunks.sort_key())), LAST) for c in columns
     }
-    chunks = chunks.carry(summaries, lambda c: F.last(c, ignorenulls=True))
+    chunks = chunks.carry(summaries)
     upto = chunks.window().rowsBetween(W.unboundedPreceding, W.currentRow)
     filled = {
         c: F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_last_{c}")) for c in columns
@@ -149,7 +183,7 @@ def running_total(chunks: Chunks, amounts: dict[str, Column]) -> Chunks:
     """Running sum of each amount up to and including the row, across chunks."""
     named = {f"_amount_{n}": a for n, a in amounts.items()}
     chunks = replace(chunks, df=chunks.df.withColumns(named))
-    chunks = chunks.carry({f"_sofar_{n}": F.sum(f"_amount_{n}") for n in amounts}, F.sum)
+    chunks = chunks.carry({f"_sofar_{n}": (F.sum(f"_amount_{n}"), SUM) for n in amounts})
     spec = chunks.window().rowsBetween(W.unboundedPreceding, W.currentRow)
     totals = {
         n: F.coalesce(F.col(f"_sofar_{n}"), F.lit(0)) + F.coalesce(F.sum(f"_amount_{n}").over(spec), F.lit(0))
@@ -160,25 +194,15 @@ def running_total(chunks: Chunks, amounts: dict[str, Column]) -> Chunks:
 
 
 def with_last_rows(chunks: Chunks, columns: list[str], n: int) -> Chunks:
-    """Puts (at least) the `n` rows before each chunk into it, marked by `_context`, so that a frame reaching n rows
-    back is whole. A chunk hands its last n rows to the next one, and on to further ones until these have n rows."""
+    """Puts the `n` rows before each chunk into it, marked by `_context`, so that a frame reaching n rows back is whole."""
     names = [*chunks.order, *(c for c in columns if c not in chunks.order)]
     newest = W.partitionBy(*chunks.columns).orderBy(*(F.col(c).desc() for c in chunks.order))
     tails = (
         chunks.df.select(*chunks.columns, *names)
         .withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n)
-        .groupBy(*chunks.columns).agg(F.collect_list(F.struct(*names)).alias("_tail"))
+        .groupBy(*chunks.columns).agg(F.sort_array(F.collect_list(F.struct(*names))).alias("_tail"))
     )
-    ahead = W.partitionBy(chunks.key).orderBy(*CHUNK).rowsBetween(1, n)
-    following = F.collect_list(F.struct(*CHUNK, F.size("_tail").alias("rows"))).over(ahead)
-    start = F.struct(F.lit(0).alias("rows"), F.lit(0).alias("takers"))
-    takers = F.aggregate(
-        "_following", start,
-        lambda seen, chunk: F.when(seen["rows"] >= n, seen).otherwise(
-            F.struct((seen["rows"] + chunk["rows"]).alias("rows"), (seen["takers"] + 1).alias("takers"))))["takers"]
-    handed = tails.withColumn("_following", following).select(
-        chunks.key, "_tail", F.explode(F.slice("_following", F.lit(1), takers)).alias("_to"))
-    context = handed.select(chunks.key, *(F.col("_to")[c].alias(c) for c in CHUNK), F.inline("_tail")).withColumn(
-        "_context", F.lit(True))
+    before = scan(tails, chunks.key, {"_tail": last_rows(n)})
+    context = before.select(*chunks.columns, F.inline("_tail")).withColumn("_context", F.lit(True))
     rows = chunks.df.withColumn("_context", F.lit(False))
     return replace(chunks, df=rows.unionByName(context, allowMissingColumns=True))

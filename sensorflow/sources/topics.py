@@ -46,13 +46,14 @@ def decode(df: DataFrame, schema: StructType = READING, keep=()) -> DataFrame:
     """JSON payloads to columns. Unknown fields are dropped; a field of the wrong type, or a motor speed that is no
     whole number of 32 bits, is NULL and the rest of the record stands. What is no JSON object at all (other text, other
     JSON, an empty or missing payload) is kept as text in `_corrupt`, a missing one as empty text."""
-    text = F.col("value").cast("string")
-    fields = F.from_json(text, schema)
-    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
-    # NaN is no strict JSON, but the fields beside it can be read.
-    readable = any_of(fields[f].isNotNull() for f in schema.names)
-    bad = F.when(~(is_object | readable), F.coalesce(text, F.lit("")))
-    flat = computed_once(df, F.struct(*(fields[f].alias(f) for f in schema.names), bad.alias(CORRUPT)), keep)
+    parsed = computed_once(df, {"_text": F.col("value").cast("string"), "_record": F.from_json(F.col("value").cast("string"), schema)}, keep)
+    fields = {f: F.col("_record")[f] for f in schema.names}
+    # Only a record without any field is looked at again: it may be an object all the same. NaN is no strict JSON, but the
+    # fields beside it can be read.
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json("_text")).startswith("OBJECT"), F.lit(False))
+    bad = F.when(any_of(f.isNotNull() for f in fields.values()), None).when(~is_object, F.coalesce("_text", F.lit("")))
+    kept = parsed.columns[:-2]
+    flat = parsed.select(*(F.col(f"`{c}`") for c in kept), *(f.alias(n) for n, f in fields.items()), bad.alias(CORRUPT))
     return flat.withColumns({m: F.round(m).try_cast("int") for m in MOTORS if m in schema.names})
 
 

@@ -43,12 +43,31 @@ def test_row_wise_work_does_not_shuffle(large, small, name):
     assert not [e for e in exchanges(registry.queries()[name](large, small)) if e == "hashpartitioning"]
 
 
+def final_plan_of(df):
+    df.collect()
+    return plan_of(df).split("Initial Plan")[0]
+
+
 def test_rows_are_shuffled_once_by_chunk(large, small):
-    plan = plan_of(windows.forward_fill(Tables(large, small).readings()))
-    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    # rows by chunk, carry by chunk, its partial aggregate, and the window over one row per chunk
-    assert len(shuffles) == 4
-    assert sum(s.count("_cell") for s in shuffles) == 3
+    plan = final_plan_of(windows.forward_fill(Tables(large, small).readings()))
+    shuffles = re.findall(r"[^d]Exchange hashpartitioning\(([^)]*)\)", plan)
+    # rows by chunk, carry by chunk, and the partial aggregate, which is made once and read twice
+    assert sum("_part" in s for s in shuffles) == 4 and plan.count("ReusedExchange") == 1
+    # windows that go over a device see one row per group of chunks
+    assert all("_group" in plan[at.start():at.start() + 1500] for at in re.finditer(r"hashpartitioning\(DeviceId#\d+, \d+\)", plan))
+
+
+@pytest.mark.parametrize("name", ["forward_fill", "iqr_outliers", "interval_check", "sustained_high", "no_data_gaps", "temporal_order"])
+def test_ordered_operators_run_nothing_before_they_are_asked(spark, small, name):
+    jobs = lambda: len({*spark.sparkContext.statusTracker().getJobIdsForGroup(None)})
+    before = jobs()
+    registry.queries()[name](spark, small)
+    assert jobs() - before <= 1  # the footer of the table
+
+
+@pytest.mark.parametrize("name", ["json_decode", "reconcile_loss"])
+def test_a_payload_is_parsed_once(spark, small, name):
+    assert plan_of(registry.queries()[name](spark, small)).split("Initial Plan")[0].count("from_json") == 1
 
 
 def test_baselines_shuffle_only_partial_results(large, small):

@@ -12,6 +12,7 @@ CUTS = [
     {"span": timeline.HOUR // 2, "max_rows": 1_000_000},
     {"span": 60 * windows.SECOND, "max_rows": 25},
     {"span": 10**15, "max_rows": 10},
+    {"span": 3 * windows.SECOND, "max_rows": None},  # thousands of chunks: many groups of them
 ]
 
 
@@ -48,7 +49,7 @@ def test_split_keeps_every_row_and_order(rows, cut):
     chunks = timeline.chunked(rows, **cut)
     assert chunks.df.count() == rows.count()
     sizes = [r["count"] for r in chunks.df.groupBy(*chunks.columns).count().collect()]
-    if cut["max_rows"] < 100:
+    if cut["max_rows"] and cut["max_rows"] < 100:
         assert max(sizes) < 400 and len(sizes) > 5
     ranks = chunks.df.withColumn("by_chunk", F.row_number().over(
         W.partitionBy("DeviceId").orderBy("_cell", "_part", "_pos", "event_id")))
@@ -56,6 +57,18 @@ def test_split_keeps_every_row_and_order(rows, cut):
     assert ranks.filter("by_chunk <> by_time").count() == 0
 
 
+def test_splits_grow_with_rows(spark):
+    """Copies of one instant are cut by their tie; the longest chunk stays as it is while rows grow."""
+    longest = []
+    for n in (5_000, 40_000):
+        df = spark.range(n).select(F.col("id").alias("event_id"), F.lit(1).alias("DeviceId"), F.timestamp_seconds(F.lit(7)).alias("event_time"))
+        chunks = timeline.chunked(df, max_rows=500)
+        sizes = [r["count"] for r in chunks.df.groupBy(*chunks.columns).count().collect()]
+        longest.append(max(sizes))
+        assert len(sizes) > n / 1_500
+    assert longest[1] < 2_000
+
+
 @pytest.mark.parametrize("cut", CUTS)
 def test_forward_fill(rows, cut):
     plain = rows.withColumn("x", F.last("x", True).over(order().rowsBetween(W.unboundedPreceding, 0)))
