@@ -216,7 +216,10 @@ def test_recall_with_a_third_of_near_copies(spark):
     vectors = rng.normal(size=(6000, 64))
     copies = rng.permutation(6000)[:2000]
     vectors[copies] = rng.normal(size=64) + 0.05 * rng.normal(size=(2000, 64))
-    found = {(q, i) for q, _, i, _ in searched(spark, list(enumerate(vectors.tolist())))}
+    table = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>")
+    rows = permutation_index.search(table).collect()
+    found = {(r.query_id, r.vec_id) for r in rows}
+    assert len(rows) == 5 * 120 and np.mean([r.compared for r in rows]) < 6000 / 4
     units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     for wanted in (set(range(0, 6000, 50)) & set(copies.tolist()), set(range(0, 6000, 50)) - set(copies.tolist())):
         scores = units[sorted(wanted)] @ units.T
@@ -224,6 +227,37 @@ def test_recall_with_a_third_of_near_copies(spark):
         assert len(true) == 5 * len(wanted) and len(true & found) >= 0.9 * len(true)
 
 
+def test_places_and_footrule():
+    rng = np.random.default_rng(4)
+    vectors, centres = rng.normal(size=(40, 8)), permutation_index.normal(rng.normal(size=(20, 8)))
+    at = permutation_index.places(vectors, centres, 12)
+    for v, found in zip(vectors, at, strict=True):
+        order = sorted(range(20), key=lambda p: (-float(permutation_index.normal(v[None, :])[0] @ centres[p]), p))
+        assert found.tolist() == [min(order.index(p), 12) for p in range(20)]
+    wanted = [sum(abs(int(a) - int(b)) for a, b in zip(x, at[0], strict=True)) for x in at]
+    assert permutation_index.footrule(at, at[0]).tolist() == wanted
+
+
+def test_pivots_lie_apart():
+    rng = np.random.default_rng(5)
+    units = permutation_index.normal(np.concatenate([rng.normal(size=16) + 0.01 * rng.normal(size=(300, 16)), rng.normal(size=(100, 16))]))
+    chosen = permutation_index.pivots(units, 50)
+    assert len(chosen) == 50 and (chosen @ units[0] > 0.9).sum() == 1
+    assert len(permutation_index.pivots(units[:300], 50)) == 50  # none lie apart: copies have to do
+
+
+def test_queries_without_a_near_file_are_compared_with_all(spark):
+    tasks.prepare(spark)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=12).tolist()) for i in range(900)]
+    tight = permutation_index.Settings(posts=1, probes=1, share=0.0, least=1)
+    found = permutation_index.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), tight).collect()
+    assert len(found) == 5 * 18
+    short = {r.query_id for r in found if r.compared == 900}
+    wanted = {r[:3] for r in plain_search(rows) if r[0] in short}
+    assert short and wanted == {(r.query_id, r.rank, r.vec_id) for r in found if r.query_id in short}
+
+
 # --- pipeline --------------------------------------------------------------------------------------------------------------
 
 def test_pipeline(spark, small):
