@@ -203,6 +203,7 @@ def _probed(distinct: DataFrame, asked: DataFrame, settings: Settings) -> DataFr
     schema = "class string, other string, vec_id long, score double, compared long"
     found = dealt.select(*key, "kind", "class", "vec_id", "vector", "places", "bound").mapInArrow(
         lambda batches: _searched(batches, settings, schema), schema)
+    found = written(found, "compared")  # read twice
     of_class = Window.partitionBy("class")
     total = found.filter("other IS NULL").groupBy("class").agg(F.sum("compared").alias("compared"))
     best = found.filter("other IS NOT NULL").withColumn("at", F.row_number().over(of_class.orderBy(F.desc("score"), "vec_id")))
