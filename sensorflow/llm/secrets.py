@@ -3,8 +3,9 @@
 Base kinds are patterns alone: `assign`, `access` and `hex`. The others are decoded first. `jwt`: three base64url parts,
 the first a JSON header that names an algorithm. `pem`: an armoured private key whose body is DER or an OpenSSH key.
 `key`: a base64 or hex run that decodes to such a key, or to its armour. Base64 may be wrapped: line ends, blanks, their
-escaped forms and the joints of string literals may stand anywhere in it. Where it ends follows from the lengths that the key
-states. DER is parsed to the end: every nested length must fill its parent.
+escaped forms and the joints of string literals may stand anywhere in it; hex also be joined by colons. Where a key ends
+follows from the lengths that it states. DER is parsed to the end: every nested length must fill its parent. A run is read
+once, however many keys may begin in it, and lengths are read where they stand, so time is linear in the text.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ import binascii
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,17 +31,20 @@ _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the same matches as runs of one or more, less those that are too short
 
-# What may precede a token: no character of it, or an escaped line end or tab, whose letter is none of it either. In a lookahead,
-# as both can hold within one run of characters.
-_JWT = re.compile(
-    r"(?:(?<![A-Za-z0-9_.-])|(?<=\\[nrt]))(?=([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*))")
+# Where a token may begin: two characters that decode to a brace or a blank, behind no letter or digit, or behind an escaped
+# line end, tab or equals sign.
+_JWT_START = re.compile(
+    r"(?:(?<![A-Za-z0-9])|(?<=\\[nrt])|(?<=u003[dD])|(?<=%3[dD]))(?:e[w-z0-9_-]|I[A-P]|C[Q-Za-v]|D[Q-Za-f])")
+_SEGMENT = re.compile(r"[A-Za-z0-9_-]+")
 _GAP = r"""\s|\\+(?:[nrt]|\r?\n|u00(?:0[9aAdD]|20))|\\*["']\s*+(?:[+,.]\s*+)?\\*["']"""
 _WRITTEN = r"\\+(?:/|u00(?:2[bBdDfF]|3[dD]|5[fF]))"  # characters of base64 that are written as escapes
 _PEM = re.compile(rf"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----((?:[A-Za-z0-9+/=]|{_GAP}|{_WRITTEN})++)-----END \1-----")
 _PIECE = re.compile(rf"((?:[A-Za-z0-9+/_-]|(?!\\+u003[dD]){_WRITTEN})++)|(?:{_GAP})++")
 _PADDING = re.compile(r"(?:=|\\+u003[dD]){0,2}")
-_KEY_START = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))(?:M(?=[A-P\s\\\"'])|b(?=3|[\s\\\"']))")  # a DER sequence, OpenSSH
-_HEX_KEY = re.compile(r"(?<![0-9a-fA-F])30(?:[0-9a-fA-F]{2}){20,}(?![0-9a-fA-F])")
+_KEY_START = re.compile(r"(?:(?<![A-Za-z0-9+/])|(?<=\\[nrt]))(?:M(?=[A-P\s\\\"'])|b(?=3|[\s\\\"']))")  # a DER sequence, OpenSSH
+_HEX_GAP = r"(?:[:\s]|\\+(?:[nrtx]|\r?\n)|0x)*+"
+_HEX_RUN = re.compile(rf"(?<![0-9a-fA-F])(?:[0-9a-fA-F]{{2}}{_HEX_GAP}){{20,}}+")
+_HEX_PAIR = re.compile(r"(?!0x)[0-9a-fA-F]{2}")
 _OPENSSH = b"openssh-key-v1\0"
 
 
@@ -76,7 +81,7 @@ def _base(text: str) -> Iterator[tuple[int, int, int]]:
 
 def _decoded(text: str) -> Iterator[tuple[int, int, int]]:
     if "." in text:
-        yield from ((m.start(1), 3, m.end(3)) for m in _JWT.finditer(text) if signed_token(m[1], m[2], m[3]))
+        yield from ((start, 3, end) for start, end in _tokens(text))
     armoured = []
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
@@ -86,10 +91,82 @@ def _decoded(text: str) -> Iterator[tuple[int, int, int]]:
     for start, end in _encoded_pems(text):
         armoured.append((start, end))
         yield start, 5, end
+    armoured.sort()
+    run, inside = None, -1
     for m in _KEY_START.finditer(text):
-        if not any(a <= m.start() < b for a, b in armoured) and (end := _key_end(text, m.start())):
-            yield m.start(), 5, end
-    yield from ((m.start(), 5, m.end()) for m in _HEX_KEY.finditer(text) if private_key(bytes.fromhex(m[0])))
+        start = m.start()
+        while armoured and armoured[0][0] <= start:
+            inside = max(inside, armoured.pop(0)[1])
+        if start < inside:
+            continue
+        if run is None or not run.reaches(start):
+            run = _Run(text, start)
+        if end := _key_end(run, start):
+            yield start, 5, end
+    yield from ((start, 5, end) for start, end in _hex_keys(text))
+
+
+def _tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Signed tokens; the ends of a run's segments are looked up once."""
+    at = stop = -1
+    parts = None
+    for m in _JWT_START.finditer(text):
+        start = m.start()
+        if start < at:
+            continue
+        if start >= stop:
+            stop = _SEGMENT.match(text, start).end()
+            parts = _after(text, stop)
+        if parts and _opens_object(text[start:min(start + 64, stop)]):
+            payload, end = parts
+            if signed_token(text[start:stop], text[stop + 1:payload], text[payload + 1:end]):
+                yield start, end
+                at = end
+
+
+def _after(text: str, stop: int) -> tuple[int, int] | None:
+    """Ends of the second and the third segment behind a first that ends at `stop`."""
+    second = _SEGMENT.match(text, stop + 1) if text[stop:stop + 1] == "." else None
+    if not second or text[second.end():second.end() + 1] != ".":
+        return None
+    third = _SEGMENT.match(text, second.end() + 1)
+    return second.end(), third.end() if third else second.end() + 1
+
+
+def _opens_object(head: str) -> bool:
+    """Whether base64 begins a JSON object, as far as its first characters tell."""
+    head = head[:len(head) // 4 * 4] if len(head) >= 64 else head
+    data = base64.urlsafe_b64decode(head + "A" * (-len(head) % 4))[:len(head) * 6 // 8].lstrip(b" \t\r\n")
+    if not data:
+        return True
+    try:
+        plain = data[:-4].decode() if len(data) > 8 else ""
+    except UnicodeDecodeError as e:
+        return data[:1] == b"{" and e.start >= len(data) - 7
+    return data[:1] == b"{" and all(c >= " " or c in "\t\r\n" for c in plain)
+
+
+def _hex_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Keys and armoured keys written in hex, which may be wrapped or joined by colons."""
+    for m in _HEX_RUN.finditer(text):
+        low = m[0].lower()
+        if "30" not in low and "6f" not in low and "2d" not in low:
+            continue
+        places = [p.start() for p in _HEX_PAIR.finditer(text, m.start(), m.end())]
+        data = bytes(int(text[p:p + 2], 16) for p in places)
+        at = 0
+        for i, byte in enumerate(data):
+            if i < at or byte not in b"\x30\x6f\x2d" or i and places[i] == places[i - 1] + 2:  # only where a group begins
+                continue
+            size = _stated_size(lambda a, b, i=i: data[i + a:i + b] if i + b <= len(data) else None, len(data))
+            end = i + size if size else None
+            if data.startswith(b"-----BEGIN ", i) and (found := _PEM.match(data[i:].decode("latin-1"))):
+                end = i + found.end() if private_key(_from_base64(_plain(found[2]))) else None
+            elif not end or end > len(data) or not private_key(data[i:end]):
+                continue
+            if end and not re.match("[0-9a-fA-F]", text[places[end - 1] + 2:places[end - 1] + 3]):
+                yield places[i], places[end - 1] + 2
+                at = end
 
 
 _ESCAPE = re.compile(r"\\+u([0-9a-fA-F]{4})|\\+(/)")
@@ -101,108 +178,174 @@ def _plain(body: str) -> str:
     return _ESCAPE.sub(lambda m: m[2] or chr(int(m[1], 16)), _GAPS.sub("", body))
 
 
-def _pieces(text: str, at: int) -> Iterator[tuple[str, int]]:
-    """Runs of base64 from `at` on, and where each ends; gaps between them are left out."""
-    while m := _PIECE.match(text, at):
-        at = m.end()
-        if m[1]:
-            yield _plain(m[1]), at
-
+class _Run:
+    """Base64 of one run of a text without its gaps, read once however many keys may begin in it."""
+
+    def __init__(self, text: str, start: int):
+        self.text, self.at, self.open = text, start, True
+        self.chars = bytearray()
+        self.starts: list[int] = []  # of pieces in the text
+        self.before: list[int] = []  # characters in front of each piece
+        self.ends: dict[int, int] = {}  # characters up to the end of a piece -> its end in the text
+
+    def more(self) -> bool:
+        while self.open:
+            m = _PIECE.match(self.text, self.at)
+            if not m or m[0].startswith("-----"):
+                self.open = False
+                return False
+            self.at = m.end()
+            if m[1]:
+                self.starts.append(m.start())
+                self.before.append(len(self.chars))
+                self.chars += (_plain(m[1]) if "\\" in m[1] else m[1]).encode().translate(_STANDARD)
+                self.ends[len(self.chars)] = self.at
+                return True
+        return False
 
-def _key_end(text: str, start: int) -> int | None:
-    """Where the key that begins at `start` ends, by the lengths it states; None if there is none."""
-    kept, size, need = [], 0, 24  # characters
-    for piece, end in _pieces(text, start):
-        if piece.startswith("-----"):
+    def reaches(self, place: int) -> bool:
+        while self.at <= place and self.more():
+            pass
+        return self.at > place
+
+    def index(self, place: int) -> int:
+        """Characters in front of a place of the text."""
+        i = bisect_right(self.starts, place) - 1
+        part = self.text[self.starts[i]:place]
+        return self.before[i] + len(_plain(part) if "\\" in part else part)
+
+    def holds(self, chars: int) -> bool:
+        while len(self.chars) < chars and self.more():
+            pass
+        return len(self.chars) >= chars
+
+    def bytes(self, index: int, a: int, b: int) -> bytes | None:
+        """Bytes a to b of what is written from `index` on; None where the run is too short."""
+        if not self.holds(index + -(-b * 8 // 6)):
             return None
-        kept.append(piece)
-        size += len(piece)
-        while size >= need:
-            # As many bytes as are asked for, to read the next length.
-            run = "".join(kept)
-            kept = [run]
-            whole = run[:need] + "A" * (-need % 4)
-            data = base64.b64decode(whole.replace("-", "+").replace("_", "/"))[:need * 6 // 8]
-            wanted = _stated_size(data)
-            if wanted is None or wanted > len(text):
-                return None
-            if wanted > len(data):
-                need = -(-wanted * 8 // 6)
-                continue
-            need = -(-wanted * 8 // 6)
-            if size != need or not private_key(_from_base64(run)):
-                return None
-            return _PADDING.match(text, end).end()
-    return None
+        first = a // 3 * 4
+        text = bytes(self.chars[index + first:index + -(-b // 3) * 4])
+        return base64.b64decode(text + b"A" * (-len(text) % 4))[a - a // 3 * 3:b - a // 3 * 3]
+
+
+_STANDARD = bytes.maketrans(b"-_", b"+/")
+_MOST_PARTS = 16
+
+
+def _key_end(run: _Run, start: int) -> int | None:
+    """Where the key that begins at `start` ends, by the lengths it states; None if there is none.
+
+    Lengths are read where they stand, so a start that leads nowhere costs the same however much it claims.
+    """
+    if not run.reaches(start):
+        return None
+    index = run.index(start)
+    size = _stated_size(lambda a, b: run.bytes(index, a, b), len(run.text))
+    if size is None:
+        return None
+    last = index + -(-size * 8 // 6)
+    if not run.holds(last) or last not in run.ends or not private_key(_from_base64(run.chars[index:last].decode())):
+        return None
+    return _PADDING.match(run.text, run.ends[last]).end()
+
 
+def _stated_size(read: Callable[[int, int], bytes | None], most: int) -> int | None:
+    """How many bytes a key takes, by the lengths that `read(from, to)` shows; None if it is no key or larger than `most`.
 
-def _stated_size(data: bytes) -> int | None:
-    """How many bytes a key takes that begins with `data`, or at least how many tell more; None if it is no key."""
-    if data[:len(_OPENSSH)] == _OPENSSH:
-        at, left = len(_OPENSSH), 3
-        counted = False
+    A key has few parts: those of a DER sequence must fill it, and OpenSSH files hold one key.
+    """
+    head = read(0, len(_OPENSSH))
+    if head == _OPENSSH:
+        at, left, counted = len(_OPENSSH), 3, False
         while left or not counted:
-            if at + 4 > len(data):
-                return at + 4
-            size = int.from_bytes(data[at:at + 4], "big")
+            stated = read(at, at + 4)
+            if stated is None or at > most:
+                return None
+            size = int.from_bytes(stated, "big")
             at += 4
             if left:
                 at, left = at + size, left - 1
+            elif size > _MOST_PARTS:
+                return None
             else:  # the number of keys: a public part for each, then the private parts
                 counted, left = True, size + 1
-        return at
-    if data[:1] != b"\x30":
+        return at if at <= most else None
+    if not head or head[0] != 0x30 or (outer := _part(head)) is None or sum(outer) > most:
+        return None
+    at, end = outer[0], sum(outer)
+    if head[at] not in (0x02, 0x30):  # a version, or the algorithm of an encrypted key
+        return None
+    for _ in range(_MOST_PARTS):
+        part = _part(read(at, min(at + 6, end)) or b"")
+        if part is None or at + sum(part) > end:
+            return None
+        at += sum(part)
+        if at == end:
+            return end
+    return None
+
+
+def _part(data: bytes) -> tuple[int, int] | None:
+    """Bytes of an element's tag and length, and of its content."""
+    if len(data) < 2:
         return None
     width = data[1] & 0x7F if data[1] & 0x80 else 0
-    size = int.from_bytes(data[2:2 + width], "big") if width else data[1]
-    # A version, or the algorithm of an encrypted key.
-    return 2 + width + size if width <= 4 and data[2 + width] in (0x02, 0x30) else None
+    if width > 4 or len(data) < 2 + width:
+        return None
+    return 2 + width, int.from_bytes(data[2:2 + width], "big") if width else data[1]
 
 
 def _encoded_pems(text: str) -> Iterator[tuple[int, int]]:
     """Spans of base64 that decodes to an armoured private key."""
     for before, sure in _ENCODED_ARMOUR:
+        run = None
         for m in sure.finditer(text):
-            if end := _encoded_pem_end(text, m.start(), before):
+            if run is None or not run.reaches(m.start()):
+                run = _Run(text, m.start())
+            if run.reaches(m.start()) and (end := _encoded_pem_end(run, m.start(), before)):
                 start = m.start()
                 while start > max(0, m.start() - len(before)) and _PIECE.match(text, start - 1, start):
                     start -= 1
                 yield start, end
 
 
-def _encoded_pem_end(text: str, at: int, before: str) -> int | None:
-    first = len(before) * 6 // 8  # bytes that `before` stands for
-    data, rest, closing = bytearray(), before, b""
+def _encoded_pem_end(run: _Run, start: int, before: str) -> int | None:
+    """Read block by block up to the first dash behind the label; `before` stands for what is in front of the sure characters."""
+    index, lead = run.index(start), len(before)
+
+    def read(a: int, b: int) -> bytes:
+        run.holds(index - lead + -(-b * 8 // 6))
+        b = min(b, (lead + len(run.chars) - index) * 6 // 8)
+        if a >= b:
+            return b""
+        first, last = a // 3 * 4, -(-b // 3) * 4
+        code = (before.encode() if first < lead else b"") + bytes(run.chars[index + max(first - lead, 0):index + last - lead])
+        return base64.b64decode(code + b"A" * (-len(code) % 4))[a - a // 3 * 3:b - a // 3 * 3]
+
+    first = lead * 6 // 8
     body = first + len(b"-----BEGIN ")
-    for piece, end in _pieces(text, at):
-        seen = len(data)
-        rest += piece.replace("-", "+").replace("_", "/")
-        whole = len(rest) // 4 * 4
-        data += base64.b64decode(rest[:whole])
-        rest = rest[whole:]
-        if not data[seen:].isascii():  # armour is; words that follow it are not when decoded
-            return None
-        # What the run would end with, if it ended here.
-        known = data + base64.b64decode(rest + "A" * (-len(rest) % 4))[:len(rest) * 6 // 8] if rest else data
-        if not closing:
-            label, dashes, _ = known[body:].partition(b"-----")
-            if not re.fullmatch(rb"[A-Z0-9 ]*-*", label):
-                return None
-            if not dashes:
-                continue
-            if not label.endswith(b"PRIVATE KEY"):
-                return None
-            closing = b"-----END " + bytes(label) + b"-----"
-            body += len(label) + len(dashes)
-        place = known.find(b"-", max(body, seen - len(closing)))
-        if place < 0:
-            continue
-        if known[place:place + len(closing)] == closing:
-            found = _PEM.fullmatch(known[first:place + len(closing)].decode("ascii", "replace"))
-            return _PADDING.match(text, end).end() if found and private_key(_from_base64(_plain(found[2]))) else None
-        if not closing.startswith(known[place:]):
+    label, dashes, _ = read(body, body + _LABEL).partition(b"-----")
+    if not dashes or not re.fullmatch(rb"(?:[A-Z0-9 ]* )?PRIVATE KEY", label):
+        return None
+    closing = b"-----END " + label + b"-----"
+    at = body + len(label) + len(dashes)
+    while (place := (block := read(at, at + _BLOCK)).find(b"-")) < 0:
+        if len(block) < _BLOCK or not block.isascii():
             return None
-    return None
+        at += len(block)
+    last = at + place + len(closing)
+    if read(at + place, last) != closing:
+        return None
+    found = _PEM.fullmatch(read(first, last).decode("ascii", "replace"))
+    if not found or not private_key(_from_base64(_plain(found[2]))):
+        return None
+    chars = index - lead + -(-last * 8 // 6)
+    end = next(e for size, e in run.ends.items() if size >= chars)
+    return _PADDING.match(run.text, end).end()
+
+
+_BLOCK = 4096
+_LABEL = 96  # bytes of an armour's label, more than any has
 
 
 def _from_base64(text: str) -> bytes | None:
