@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorflow.functions.basic import event_time, rounded
 from sensorflow.functions.quality import range_score
 from sensorflow.operators import quality, records, stats
 from sensorflow.plans.catalog import query
@@ -219,6 +220,33 @@ def stream_sliding(t: Tables) -> DataFrame:
     return whole(t, lambda df: jobs.tumbling_statistics(df, "5 minutes", slide="1 minute"), "sliding")
 
 
+@query("stream_sliding_hour", f"""
+SELECT DeviceId, count(*) AS windows, CAST(sum(readings) AS BIGINT) AS readings, max(readings) AS most_readings,
+  CAST(sum(failures) AS BIGINT) AS failures, round(avg(sensor1_avg), 6) AS sensor1_mean, round(max(sensor2_avg), 6) AS sensor2_most
+FROM (SELECT window_start, DeviceId, {_STATS}
+  FROM (SELECT *, time_bucket(INTERVAL 1 MINUTE, event_time) - INTERVAL 1 MINUTE * shift AS window_start
+        FROM readings, range(60) s(shift) WHERE DeviceId IS NOT NULL) GROUP BY 1, 2) GROUP BY DeviceId""")
+def stream_sliding_hour(t: Tables) -> DataFrame:
+    """Every hour that begins with a minute, from panes of a minute; reported by device."""
+    hours = whole(t, jobs.sliding_by_panes, "sliding-hour")
+    return hours.groupBy("DeviceId").agg(
+        F.count("*").alias("windows"), F.sum("readings").alias("readings"), F.max("readings").alias("most_readings"),
+        F.sum("failures").alias("failures"), F.avg(rounded("sensor1_avg", 6)).alias("sensor1_mean"),
+        F.max(rounded("sensor2_avg", 6)).alias("sensor2_most"))
+
+
+@query("stream_lost_readings", """
+SELECT event_id, DeviceId, event_time FROM readings WHERE event_id % 150 IN (0, 30, 60, 90)""")
+def stream_lost_readings(t: Tables) -> DataFrame:
+    """What was sent and did not come, from two live topics; what came, came twice."""
+    def compared(df: DataFrame) -> DataFrame:
+        came = topics.well_formed(topics.decode(topics.envelope(messages(df), keep=["event_id"]), keep=["event_id"]))
+        came = came.select("event_id", "DeviceId", event_time(came, "time").alias("event_time"), F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
+        return jobs.lost(df.select("event_id", "DeviceId", "event_time"), came)
+
+    return jobs.collected_whole(live(t), compared, work_path(t.spark, "lost"))
+
+
 @query("stream_dedup", "SELECT DISTINCT DeviceId, event_time FROM readings WHERE DeviceId IS NOT NULL")
 def stream_dedup(t: Tables) -> DataFrame:
     """Every reading is delivered twice."""

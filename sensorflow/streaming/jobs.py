@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +50,39 @@ def tumbling_statistics(df: DataFrame, window: str = "10 seconds", lateness: str
         "failures", *(f"{s}_avg" for s in SENSORS))
 
 
+def sliding_by_panes(df: DataFrame, window: str = "1 hour", slide: str = "1 minute", lateness: str = LATENESS,
+                     time: str = "event_time") -> DataFrame:
+    """As `tumbling_statistics` with a slide, for windows that are much longer than it.
+
+    Readings are summed once into panes as long as the slide, and windows are merged from panes: what is copied into every
+    window it belongs to is one row a device and pane, not every reading."""
+    panes = df.withWatermark(time, lateness).groupBy(F.window(time, slide).alias("pane"), "DeviceId").agg(
+        F.count("*").alias("readings"), F.count_if("isFail").alias("failures"),
+        *(F.sum(s).alias(f"{s}_sum") for s in SENSORS), *(F.count(s).alias(f"{s}_n") for s in SENSORS))
+    # A pane lies in the windows that its last instant lies in; the watermark goes on from there.
+    panes = panes.withColumn("at", F.window_time("pane"))
+    merged = panes.groupBy(F.window("at", window, slide).alias("w"), "DeviceId").agg(
+        F.sum("readings").alias("readings"), F.sum("failures").alias("failures"),
+        *(F.try_divide(F.sum(f"{s}_sum"), F.sum(f"{s}_n")).alias(f"{s}_avg") for s in SENSORS))
+    return merged.select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "DeviceId", "readings", "failures",
+        *(f"{s}_avg" for s in SENSORS))
+
+
+def lost(sent: DataFrame, received: DataFrame, on=("DeviceId", "event_id"), lateness: str = LATENESS,
+         time: str = "event_time") -> DataFrame:
+    """Rows of one stream that did not come by another, each out once the watermark of both has passed it.
+
+    Rows meet by time and the other columns, of which NULL meets NULL; copies of a received row count once, and are dropped
+    before the join keeps them. State holds what lies within the allowed delay of the slower stream. Rows without time have
+    no bound and are left out."""
+    came = received.select(F.col(time).alias("_time"), *(F.col(c).alias(f"_{c}") for c in on)).filter("_time IS NOT NULL")
+    came = came.withWatermark("_time", lateness).dropDuplicatesWithinWatermark(["_time", *(f"_{c}" for c in on)])
+    sent = sent.filter(F.col(time).isNotNull()).withWatermark(time, lateness)
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on), F.col(time) == F.col("_time"))
+    return sent.join(came, same, "left_outer").filter("_time IS NULL").select(*sent.columns)
+
+
 def without_copies(df: DataFrame, keys=("DeviceId", "event_time"), lateness: str = LATENESS,
                    time: str = "event_time") -> DataFrame:
     return df.withWatermark(time, lateness).dropDuplicatesWithinWatermark(list(keys))

@@ -178,3 +178,44 @@ def test_kafka_source_is_declared(spark):
     land(spark, f"{root}/in", 0, [(1, 0, 1, 1.0)])
     with pytest.raises(Exception, match="(?i)kafka"):
         jobs.topic(topics.to_messages(stream(spark, f"{root}/in")), "broker:9092", "processed", f"{root}/cp", None)
+
+
+def test_lost_rows_of_two_live_topics(spark):
+    """Late, repeated and missing rows over several batches and restarts; each loss is told once, when its time has passed."""
+    root = work_path(spark, "lost")
+    rows = [(i, 10 * i, i % 3 if i % 7 else None, 1.0) for i in range(40)]
+    lost = {5, 7, 21, 38}
+
+    def deliver(batch, numbers, also=()):
+        land(spark, f"{root}/sent", batch, [rows[i] for i in numbers])
+        land(spark, f"{root}/came", batch, [rows[i] for i in numbers if i not in lost] + [rows[i] for i in also])
+
+    deliver(0, range(20), also=[3, 3])
+    found = jobs.lost(stream(spark, f"{root}/sent"), stream(spark, f"{root}/came"))
+    run = lambda: jobs.to_end(jobs.table_layer(found, f"{root}/out", f"{root}/cp"))
+    told = lambda: sorted(r.event_id for r in spark.read.schema(found.schema).parquet(f"{root}/out").collect())
+    run()
+    deliver(1, [*range(20, 25), *range(26, 32)], also=[3, 19, 19])
+    run()
+    deliver(2, [25, *range(32, 40)])  # 25 comes late on both sides
+    run()
+    assert set(told()) <= lost
+    land(spark, f"{root}/sent", 3, [(100, 100_000, 1, 1.0)])
+    run()
+    assert 38 not in told()  # the other stream has not got that far yet
+    land(spark, f"{root}/came", 3, [(100, 100_000, 1, 1.0)])
+    run()
+    run()
+    assert told() == sorted(lost)
+
+
+def test_panes_give_the_same_windows(spark):
+    root = work_path(spark, "panes")
+    land(spark, f"{root}/in", 0, [(i, i * 37 % 4000, i % 3, None if i % 5 == 0 else float(i % 17)) for i in range(600)])
+    source = stream(spark, f"{root}/in").filter("DeviceId IS NOT NULL")
+    tables = [jobs.collected_whole(source, make, f"{root}/{n}") for n, make in enumerate((
+        lambda df: jobs.sliding_by_panes(df, "30 minutes", "5 minutes"),
+        lambda df: jobs.tumbling_statistics(df, "30 minutes", slide="5 minutes")))]
+    rows = [sorted((r.window_start, r.window_end, r.DeviceId, r.readings, r.failures, r.sensor1_avg and round(r.sensor1_avg, 9)) for r in t.collect())
+            for t in tables]
+    assert rows[0] == rows[1] and len(rows[0]) > 20
