@@ -303,3 +303,22 @@ def test_rows_that_share_or_lack_an_id(spark):
         assert len(found) == len(wanted) and {r[:2] for r in found} == wanted
         assert shuffled is rows or sorted(found, key=str) == before
         before = sorted(found, key=str)
+
+
+def test_stages_leave_other_columns_alone(spark, small):
+    """Names that stages use inside, a map column, empty tables, null texts and repeated rows."""
+    tasks.prepare(spark)
+    made = spark.read.parquet(f"{small}/documents.parquet").limit(60).selectExpr(
+        "doc_id", "text", "'h' AS hash", "'r' AS row", "'f' AS `first`", "1 AS at", "2 AS id", "3 AS salt", "map('k', doc_id) AS m", "doc_id AS document")
+    odd = spark.range(4).selectExpr("id + 900000 AS doc_id", "CAST(NULL AS string) AS text", "'h' AS hash", "'r' AS row", "'f' AS `first`", "1 AS at",
+                                    "2 AS id", "3 AS salt", "map('k', id) AS m", "id AS document")
+    docs = tasks.written(made.unionByName(odd), "odd")
+    before = {r.doc_id: r for r in docs.collect()}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, docs, small)
+        assert rows.columns == docs.columns and stage(spark, docs.filter("false"), small).count() == 0
+        for r in rows.collect():
+            was = before[r.doc_id]
+            assert (r.hash, r.row, r["first"], r["at"], r.id, r.salt, r.m, r.document) == (was.hash, was.row, was["first"], was["at"], was.id, was.salt, was.m, was.document)
+        docs = tasks.written(rows, "odd")
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, small).count() == docs.count() > 0
