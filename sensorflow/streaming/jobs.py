@@ -74,8 +74,8 @@ def lost(sent: DataFrame, received: DataFrame, on=("DeviceId", "event_id"), late
     """Rows of one stream that did not come by another, each out once the watermark of both has passed it.
 
     Rows meet by time and the other columns, of which NULL meets NULL; copies of a received row count once, and are dropped
-    before the join keeps them. State holds what lies within the allowed delay of the slower stream. Rows without time have
-    no bound and are left out."""
+    before the join keeps them. State holds what lies within the allowed delay of the slower stream. After a restart both
+    streams must have moved on once. Rows without time have no bound and are left out."""
     came = received.select(F.col(time).alias("_time"), *(F.col(c).alias(f"_{c}") for c in on)).filter("_time IS NOT NULL")
     came = came.withWatermark("_time", lateness).dropDuplicatesWithinWatermark(["_time", *(f"_{c}" for c in on)])
     sent = sent.filter(F.col(time).isNotNull()).withWatermark(time, lateness)
