@@ -211,6 +211,28 @@ def stream_stats_tumbling(t: Tables) -> DataFrame:
     return whole(t, lambda df: jobs.tumbling_statistics(df, "10 minutes"), "tumbling")
 
 
+@query("stream_update_mode", f"""
+SELECT window_start, DeviceId, {_STATS}
+FROM (SELECT *, time_bucket(INTERVAL 10 MINUTE, event_time) AS window_start FROM readings WHERE DeviceId IS NOT NULL)
+GROUP BY 1, 2""")
+def stream_update_mode(t: Tables) -> DataFrame:
+    """Open windows too, as they grow: each micro-batch brings the windows it changed, and the newest state of each is kept."""
+    root = work_path(t.spark, "update")
+    log = layers.UpsertLog(f"{root}/log", ("window_start", "DeviceId"), ("readings",))
+    changed = jobs.tumbling_statistics(known(t), "10 minutes")
+    for _ in range(2):  # the second run goes on from the checkpoint and finds nothing new
+        jobs.to_end(jobs.each_batch(changed, log, f"{root}/checkpoint", every=None, mode="update"))
+    return log.read(t.spark).drop("window_end")
+
+
+@query("stream_timed_trigger", "SELECT DeviceId, count(*) AS readings FROM readings GROUP BY 1")
+def stream_timed_trigger(t: Tables) -> DataFrame:
+    """A raw layer by a query that wakes up every second, stopped when the input is read."""
+    root = work_path(t.spark, "timed")
+    jobs.until_read(jobs.raw_layer(live(t), f"{root}/raw", f"{root}/checkpoint", every="1 second"))
+    return files.layer(t.spark, f"{root}/raw").groupBy("DeviceId").agg(F.count("*").alias("readings"))
+
+
 @query("stream_sliding", f"""
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, DeviceId, {_STATS}
 FROM (SELECT *, time_bucket(INTERVAL 1 MINUTE, event_time) - INTERVAL 1 MINUTE * shift AS window_start

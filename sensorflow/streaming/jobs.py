@@ -156,6 +156,14 @@ def to_end(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
+def until_read(query: StreamingQuery) -> None:
+    """Lets a query with a timed trigger take all that is there, and stops it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def collected(df: DataFrame, root: str, spark: SparkSession) -> DataFrame:
     """Runs a stream over all available input and reads the result back as a table."""
     to_end(table_layer(df, f"{root}/out", f"{root}/checkpoint"))
