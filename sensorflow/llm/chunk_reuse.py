@@ -1,26 +1,30 @@
 """BPE encoding and decoding with content-defined chunks that are encoded once.
 
 1. A rolling hash over the bytes of a text cuts it where the hash of the last 32 bytes has a given pattern, so equal
-   passages are cut into equal chunks wherever they stand. Occurrences of chunk keys are counted; only keys are shuffled.
-2. A chunk that several documents share is encoded once, by its owner: the document with the smallest row hash.
-3. Documents without shared chunks are encoded where they are read. The others take the shared encodings by key and join
-   them with those of their own chunks.
+   passages are cut into equal chunks wherever they stand. The documents are written once with a number of their own, so
+   equal rows are told apart from here on. Only (number, place, key) of chunks are shuffled.
+2. A chunk that several documents share is encoded once, by its owner: the document with the smallest number. Shared keys
+   stay in a table; references find theirs by (key, salt), so a chunk that a third of all documents have is spread.
+3. The documents' files are read a second time, each next to the marks of its shared chunks, in the order of the file. A
+   document without marks is encoded there. Of the others, chunks of their own and those they own are encoded, and the
+   shared ones are joined to the documents that refer to them.
 4. A cut may fall inside a word, so each join is repaired: the window around it grows outward until it starts and ends at
    white space and is encoded again; what lies outside stands. White space is never part of a token and no token reaches
    over it, so such a window encodes exactly as in the whole text, and where a cut touches white space both sides already
    agree with it.
-The keys that count as shared are broadcast: at most MOST_SHARED, 24 bytes each, those with the most occurrences. Chunks
-beyond that are encoded where they stand; the ids are the same.
+Nothing is broadcast or brought to the driver. A task holds a batch of documents, or the pieces of one.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -28,6 +32,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.llm import encoding, tasks, vocab
 from sensorflow.llm.shingles import mixed
+from sensorflow.session import work_path
 
 WINDOW = 32
 LEAST, USUAL, MOST = 1024, 4096, 1 << 16
@@ -135,46 +140,16 @@ def _unpacked(data: bytes, unpacker: zstandard.ZstdDecompressor) -> Piece:
 
 # --- the job ---------------------------------------------------------------------------------------------------------
 
-MOST_SHARED = 1 << 20
-_KEY = np.dtype([("high", "<u8"), ("low", "<u8")])
+READ_ROWS = 64  # documents of a file that are read at a time
+GROUP_BYTES = 16 << 20  # row groups of the written documents: bounds what a reader holds, however long the texts
 
 
-def _chunks(text: str, sizes: tuple[int, int, int]) -> tuple[list[bytes], np.ndarray]:
-    """Chunks of a text and their 128-bit keys."""
+def _parts(text: str, sizes: tuple[int, int, int]) -> list[bytes]:
     data, start, parts = text.encode(), 0, []
     for end in cuts(data, *sizes):
         parts.append(data[start:end])
         start = end
-    return parts, np.frombuffer(b"".join(xxhash.xxh3_128_digest(p) for p in parts), _KEY)
-
-
-def _row_hash(doc_id: int | None, text: str) -> bytes:
-    return xxhash.xxh3_128_digest(f"{doc_id} {text}".encode())
-
-
-class Shared:
-    """Sorted keys of the shared chunks and the owner of each."""
-
-    def __init__(self, keys: np.ndarray, owners: np.ndarray):
-        order = np.argsort(keys["high"], kind="stable")
-        self.high, self.low, self.owners = keys["high"][order], keys["low"][order], owners[order]
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Place of each key, or -1. Keys with equal first halves stand side by side."""
-        places = np.searchsorted(self.high, keys["high"])
-        found = np.full(len(keys), -1)
-        for i in np.flatnonzero(places < len(self.high)).tolist():
-            at = places[i]
-            while at < len(self.high) and self.high[at] == keys["high"][i]:
-                if self.low[at] == keys["low"][i]:
-                    found[i] = at
-                    break
-                at += 1
-        return found
-
-
-def _owner_number(row: bytes) -> int:
-    return int.from_bytes(row[:8], "little") >> 1  # fits a long
+    return parts
 
 
 class Finish:
@@ -199,7 +174,7 @@ IDS = "doc_id long, n_tokens long, ids binary"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, digests: bool = False, most_shared: int = MOST_SHARED,
+def encode_documents(docs: DataFrame, path: str | None = None, digests: bool = False,
                      sizes: tuple[int, int, int] = (LEAST, USUAL, MOST)) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian, 32 bits) of every whole text, or SHA-256 of the ids and the decoded text.
 
@@ -208,108 +183,125 @@ def encode_documents(docs: DataFrame, path: str | None = None, digests: bool = F
     """
     path = path or vocab.default_path()
     spark = docs.sparkSession
-
-    def keys(doc_ids, texts):
-        for doc_id, text in zip(doc_ids, texts, strict=True):
-            text = text or ""
-            owner = _owner_number(_row_hash(doc_id, text))
-            yield from ((key, owner) for key in set(_split(_chunks(text, sizes)[1])))
-
-    counted = tasks.map_rows(docs, ["doc_id", "text"], "chunk binary, owner long", lambda: keys).groupBy("chunk").agg(
-        F.count("*").alias("n"), F.min("owner").alias("owner")).filter("n > 1")
-    top = counted.orderBy(F.desc("n"), "chunk").limit(most_shared).select("chunk", "owner").toArrow()
-    found = np.frombuffer(b"".join(top.column("chunk").to_pylist()), _KEY)
-    shared = spark.sparkContext.broadcast(Shared(found, top.column("owner").to_numpy().astype(np.int64)))
-
-    def owned():
-        encode, packer = encoding.id_bytes(path), zstandard.ZstdCompressor(level=3)
-
-        def step(doc_ids, texts):
-            for doc_id, text in zip(doc_ids, texts, strict=True):
-                parts, chunk_keys = _chunks(text or "", sizes)
-                places = shared.value.find(chunk_keys)
-                if (places < 0).all():
+    schema = DIGESTS if digests else IDS
+    results = schema.removeprefix("doc_id long, ")
+
+    folder = work_path(spark, "numbered")
+    numbered = docs.select("doc_id", "text").withColumn("id", F.monotonically_increasing_id())
+    numbered.write.option("compression", "zstd").option("parquet.block.size", GROUP_BYTES).parquet(folder)
+    numbered = spark.read.schema(numbered.schema).parquet(folder)
+    marks, shared = _marks(numbered, sizes)
+    pieces = tasks.written(_encoded(numbered, marks, path, digests, results, sizes), "pieces")
+    tasks.removed(folder)
+
+    names = [name for name, _ in (part.split() for part in schema.split(", "))]
+    alone = pieces.filter("number IS NULL AND chunk IS NULL").select(*names)
+    encoded = pieces.filter("chunk IS NOT NULL").select("chunk", "packed")
+    # Only as many copies of an encoding as its chunk has salts, each for the references of that salt.
+    dealt = shared.select("chunk", "salt").join(encoded, "chunk")
+    taken = marks.join(dealt, ["chunk", "salt"]).select("id", "doc_id", "number", "packed")
+    own = pieces.filter("number IS NOT NULL").select("id", "doc_id", "number", "packed")
+    ordered = own.unionByName(taken).repartition("id").sortWithinPartitions("id", "number")
+    return alone.unionByName(ordered.mapInArrow(_assembler(path, digests, schema), schema))
+
+
+def _marks(numbered: DataFrame, sizes: tuple[int, int, int]) -> tuple[DataFrame, DataFrame]:
+    """References to chunks that several documents have (id, doc_id, number, chunk, salt, owned), and the (chunk, salt) of
+    these with the owner."""
+    def keys(ids, doc_ids, texts):
+        for id_, doc_id, text in zip(ids, doc_ids, texts, strict=True):
+            yield from ((id_, doc_id, i, xxhash.xxh3_128_digest(part)) for i, part in enumerate(_parts(text or "", sizes)))
+
+    found = tasks.map_rows(numbered, ["id", "doc_id", "text"], "id long, doc_id long, number int, chunk binary", lambda: keys)
+    references = tasks.written(tasks.salted(found, "id"), "references")
+    ends = tasks.group_totals(references.select("chunk", "salt", "id"), ["chunk"], owner=(F.min, F.min, "id"), last=(F.max, F.max, "id"))
+    shared = tasks.written(ends.filter("owner < last").drop("last"), "shared")
+    marks = references.join(shared, ["chunk", "salt"]).withColumn("owned", F.col("id") == F.col("owner")).drop("owner")
+    return tasks.written(marks, "marks"), shared
+
+
+def _encoded(numbered: DataFrame, marks: DataFrame, path: str, digests: bool, results: str, sizes: tuple[int, int, int]) -> DataFrame:
+    """One row for each document without marks, for each piece of the others, and for each shared chunk.
+
+    Each written file goes to one task, followed by the marks of its documents in their order.
+    """
+    spark = numbered.sparkSession
+    files = numbered.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min("id").alias("start"))
+    part, none = (lambda c: F.shiftright(c, 33).alias("part")), (lambda kind: F.lit(None).cast(kind))
+    heads = files.select(part("start"), none("long").alias("id"), "start", "file", none("int").alias("number"),
+                         none("binary").alias("chunk"), none("boolean").alias("owned"))
+    rows = marks.select(part("id"), "id", none("long").alias("start"), none("string").alias("file"), "number", "chunk", "owned")
+    # A named number of parts: marks are small, and what their size says about the work of a file is nothing.
+    both = heads.unionByName(rows).repartition(tasks.salts(spark), "part").sortWithinPartitions(
+        "part", F.asc_nulls_first("id"), "start", "number")
+    schema = f"id long, doc_id long, number int, chunk binary, packed binary, {results}"
+    empty = (None,) * (results.count(",") + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, finish, packer = encoding.id_bytes(path), Finish(path, digests), zstandard.ZstdCompressor(level=3)
+
+        def pieces() -> Iterator[tuple]:
+            for id_, doc_id, text, marked in _with_marks(batches):
+                parts = _parts(text or "", sizes)
+                if not marked:
+                    ids = joined([encode_chunk(p.decode(), encode) for p in parts], encode)
+                    yield id_, doc_id, None, None, None, *finish(doc_id, ids)[1:]
                     continue
-                me, done = _owner_number(_row_hash(doc_id, text)), set()
-                for part, key, place in zip(parts, _split(chunk_keys), places.tolist(), strict=True):
-                    if place >= 0 and key not in done and shared.value.owners[place] == me:
+                done = set()
+                for i, data in enumerate(parts):
+                    key, owned = marked.get(i, (None, True))
+                    if owned and key not in done:
+                        packed = _packed(encode_chunk(data.decode(), encode), packer)
+                        yield id_, doc_id, None if key else i, key, packed, *empty
+                    if key:
                         done.add(key)
-                        yield key, _packed(encode_chunk(part.decode(), encode), packer)
 
-        return step
+        yield from tasks.batches(pieces(), tasks.arrow_schema(schema))
 
-    def alone():
-        encode, finish = encoding.id_bytes(path), Finish(path, digests)
+    return both.mapInArrow(run, schema)
 
-        def step(doc_ids, texts):
-            for doc_id, text in zip(doc_ids, texts, strict=True):
-                parts, chunk_keys = _chunks(text or "", sizes)
-                if (shared.value.find(chunk_keys) < 0).all():
-                    yield finish(doc_id, joined([encode_chunk(p.decode(), encode) for p in parts], encode))
-
-        return step
-
-    def references(doc_ids, texts):
-        for doc_id, text in zip(doc_ids, texts, strict=True):
-            places = shared.value.find(chunk_keys := _chunks(text or "", sizes)[1])
-            if (places >= 0).any():
-                row, split = _row_hash(doc_id, text), _split(chunk_keys)
-                yield from ((row, doc_id, i, split[i]) for i in np.flatnonzero(places >= 0).tolist())
-
-    def own():
-        encode, packer = encoding.id_bytes(path), zstandard.ZstdCompressor(level=3)
-
-        def step(doc_ids, texts):
-            for doc_id, text in zip(doc_ids, texts, strict=True):
-                parts, chunk_keys = _chunks(text or "", sizes)
-                places = shared.value.find(chunk_keys)
-                if (places >= 0).any():
-                    row = _row_hash(doc_id, text)
-                    yield from ((row, doc_id, i, _packed(encode_chunk(parts[i].decode(), encode), packer))
-                                for i in np.flatnonzero(places < 0).tolist())
-
-        return step
-
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, finish, unpacker = encoding.id_bytes(path), Finish(path, digests), zstandard.ZstdDecompressor()
-        kinds, out = tasks.arrow_schema(schema), []
-        held: tuple[bytes, int | None] | None = None
-        pieces: list[tuple[int, bytes]] = []
-
-        def flush() -> list[tuple]:
-            copies = 1  # wholly equal rows bring every piece as often as there are rows
-            while copies < len(pieces) and pieces[copies][0] == pieces[0][0]:
-                copies += 1
-            ids = joined([_unpacked(p, unpacker) for _, p in pieces[::copies]], encode)
-            return [finish(held[1], ids)] * copies
 
+def _with_marks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int | None, str | None, dict[int, tuple[bytes, bool]]]]:
+    """The documents of each file with the marks (place -> key, owned) of each; both come in the order of their numbers."""
+    def rows() -> Iterator[tuple]:
         for batch in batches:
-            for row, doc_id, number, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held is not None and row != held[0]:
-                    out += flush()
-                    pieces = []
-                held = row, doc_id
-                pieces.append((number, packed))
-                if len(out) >= tasks.BATCH_ROWS:
-                    yield tasks.record_batch(out, kinds)
-                    out = []
-        if held is not None:
-            out += flush()
-        yield tasks.record_batch(out, kinds)
+            yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+    for _, group in groupby(rows(), key=lambda row: row[0]):
+        files, mark = [], None
+        for mark in group:
+            if mark[1] is not None:
+                break
+            files.append(mark[3])
+            mark = None
+        for file in files:
+            for id_, doc_id, text in _documents(file):
+                marked = {}
+                while mark is not None and mark[1] == id_:
+                    marked[mark[4]] = mark[5], mark[6]
+                    mark = next(group, None)
+                yield id_, doc_id, text, marked
+
+
+def _documents(file: str) -> Iterator[tuple[int, int | None, str | None]]:
+    system, place = tasks.store(file)
+    with system.open_input_file(place) as source:
+        for batch in pq.ParquetFile(source).iter_batches(READ_ROWS, columns=["id", "doc_id", "text"]):
+            yield from zip(*(batch.column(c).to_pylist() for c in ("id", "doc_id", "text")), strict=True)
+
+
+def _assembler(path: str, digests: bool, schema: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, finish, unpacker = encoding.id_bytes(path), Finish(path, digests), zstandard.ZstdDecompressor()
 
-    schema = DIGESTS if digests else IDS
-    columns = ["doc_id", "text"]
-    # Wholly equal rows own the same chunks. Written after that is settled, so a chunk that very many documents have is
-    # met by a plain join, which is split where it is skewed.
-    encoded = tasks.written(tasks.map_rows(docs, columns, "chunk binary, packed binary", owned).dropDuplicates(["chunk"]), "chunks")
-    taken = tasks.map_rows(docs, columns, "row binary, doc_id long, number int, chunk binary", lambda: references)
-    taken = taken.join(encoded, "chunk").select("row", "doc_id", "number", "packed")
-    rest = tasks.map_rows(docs, columns, "row binary, doc_id long, number int, packed binary", own)
-    pieces = taken.unionByName(rest).repartition("row").sortWithinPartitions("row", "number")
-    return tasks.map_rows(docs, columns, schema, alone).unionByName(pieces.mapInArrow(assemble, schema))
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
+        def documents() -> Iterator[tuple]:
+            for (_, doc_id), pieces in groupby(rows(), key=lambda row: row[:2]):
+                yield finish(doc_id, joined([_unpacked(packed, unpacker) for *_, packed in pieces], encode))
 
-def _split(keys: np.ndarray) -> list[bytes]:
-    raw = keys.tobytes()
-    return [raw[i:i + 16] for i in range(0, len(raw), 16)]
+        yield from tasks.batches(documents(), tasks.arrow_schema(schema))
 
+    return run

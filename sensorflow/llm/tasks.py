@@ -38,19 +38,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[], Callable[..., Iterable[tuple]]]) -> DataFrame:
     """One call of `make()()` per Arrow batch with one list per column; it yields the rows of the result.
 
-    Only the named columns travel to Python. Rows leave in batches of at most BATCH_ROWS.
+    Only the named columns travel to Python. Rows leave in `batches`.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
-            rows = []
-            for row in step(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
-                rows.append(row)
-                if len(rows) >= BATCH_ROWS:
-                    yield record_batch(rows, kinds)
-                    rows = []
-            if rows:
-                yield record_batch(rows, kinds)
+        for batch in found:
+            yield from batches(step(*(batch.column(i).to_pylist() for i in range(batch.num_columns))), kinds)
 
     kinds = arrow_schema(schema)
     return df.select(*columns).mapInArrow(run, schema)
@@ -72,6 +65,19 @@ def record_batch(rows: list[tuple], kinds: pa.Schema) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds)
 
 
+def batches(rows: Iterable[tuple], kinds: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Batches of at most BATCH_ROWS rows, or of the rows with which texts and binaries come to BATCH_BYTES."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row if isinstance(v, (bytes, str)))
+        if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
+            yield record_batch(held, kinds)
+            held, size = [], 0
+    if held:
+        yield record_batch(held, kinds)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, written below the shared work folder and read again: a cut that survives lost executors."""
     path = work_path(df.sparkSession, name)
@@ -79,6 +85,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(path: str) -> None:
+    """Deletes a work table that nothing reads any more."""
+    system, place = store(path)
+    system.delete_dir(place)
+
+
 def salts(spark: SparkSession) -> int:
     """Parts a hot key is split into: as many as a shuffle has, so no part is larger than a fair share."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

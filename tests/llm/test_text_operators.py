@@ -3,10 +3,11 @@
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sensorflow.llm import (
@@ -134,21 +135,36 @@ def test_chunks_are_cut_alike_and_joins_repaired(texts, library):
             assert np.frombuffer(chunk_reuse.joined(pieces, encode), "<u4").tolist() == ids_of(library, text)
 
 
-@pytest.mark.parametrize("most_shared", [0, 3, 1 << 20])
-def test_chunk_reuse(docs, none, library, most_shared):
+def test_chunk_reuse(docs, none, library):
     wanted = []
     for i, t in ODD:
         ids = ids_of(library, t)
         text = library.decode(ids, skip_special_tokens=False)
         wanted.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
     for sizes in ((16, 32, 64), (1024, 4096, 1 << 16)):
-        found = chunk_reuse.encode_documents(docs, digests=True, most_shared=most_shared, sizes=sizes)
+        found = chunk_reuse.encode_documents(docs, digests=True, sizes=sizes)
         assert sorted_rows(found) == sorted(wanted, key=str)
     assert chunk_reuse.encode_documents(none).count() == 0
     ids = chunk_reuse.encode_documents(docs.filter("doc_id = 1")).first()
     assert np.frombuffer(ids.ids, "<u4").tolist() == ids_of(library, ODD[0][1])
 
 
+def test_equal_rows_are_spread(spark, texts, library):
+    tasks.prepare(spark)
+    several = list(texts.values())[:40]
+    rows = [(5, several[0])] * 600 + [(i, t + several[0]) for i, t in enumerate(several)] + [(i, t) for i, t in enumerate(several)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = chunk_reuse.encode_documents(docs, sizes=(64, 256, 4096))
+        tasks_of = found.groupBy(F.spark_partition_id()).count().collect()
+        got = Counter((r.doc_id, r.ids) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == Counter((i, np.array(ids_of(library, t), "<u4").tobytes()) for i, t in rows)
+    assert max(n for _, n in tasks_of) < len(rows) / 2
+
+
 # --- near duplicates ---------------------------------------------------------------------------------------------------
 
 def plain_set(text):
