@@ -27,6 +27,17 @@ def rolling_hour(t: Tables) -> DataFrame:
         "event_id", "DeviceId", "temp_1h_avg", "temp_1h_std")
 
 
+@query("rolling_decimals", """
+SELECT event_id, DeviceId, round(avg(v) OVER w, 6) AS mean_30m, round(stddev_samp(v) OVER w, 6) AS std_30m
+FROM (SELECT event_id, DeviceId, event_time, sin(event_id) * 1000 + sensor1 / 7 AS v FROM readings WHERE DeviceId IS NOT NULL)
+WINDOW w AS (PARTITION BY DeviceId ORDER BY event_time RANGE BETWEEN INTERVAL 30 MINUTE PRECEDING AND CURRENT ROW)""")
+def rolling_decimals(t: Tables) -> DataFrame:
+    """Values with all their decimals, whose sums come out differently in each order of adding."""
+    values = t.readings().withColumn("v", F.sin("event_id") * 1000 + F.col("sensor1") / 7)
+    ranged = windows.rolling(values, "v", 1800)
+    return ranged.select("event_id", "DeviceId", F.round("mean", 6).alias("mean_30m"), F.round("std", 6).alias("std_30m"))
+
+
 @query("zscore", """
 SELECT event_id, DeviceId, round(abs(sensor1_clean - avg(sensor1_clean) OVER w) / nullif(stddev_samp(sensor1_clean) OVER w, 0), 6) AS temp_zscore
 FROM cleaned WINDOW w AS (PARTITION BY DeviceId)""")

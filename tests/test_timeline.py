@@ -5,7 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorflow.functions.basic import rounded
-from sensorflow.operators import timeline, windows
+from sensorflow.operators import quantiles, timeline, windows
 from sensorflow.operators.quantiles import percentile
 
 CUTS = [
@@ -168,6 +168,17 @@ def test_percentile_of_many_different_doubles(spark):
         assert found == pytest.approx(df.filter("NOT isnan(x)").agg(F.percentile("x", q)).first()[0], rel=1e-12)
 
 
+@pytest.mark.parametrize("bracket", [[0.0, 0.01], [0.99, 1.0], [0.6, 0.4]])
+def test_percentile_with_a_bracket_that_misses_the_rank(spark, monkeypatch, bracket):
+    monkeypatch.setattr(quantiles, "_bracket", lambda q, accuracy: bracket)
+    odd = F.when(F.col("id") % 50 == 0, float("-inf")).when(F.col("id") % 51 == 0, float("inf"))
+    for x in (F.sin("id") * 1e9, odd.otherwise(F.cos("id")), F.lit(3.5), F.col("id") % 3):
+        df = spark.range(5000).select(x.cast("double").alias("x"))
+        for q in (0.0, 0.3, 0.95):
+            found = percentile(df, ["x"], q, accuracy=200).first().x
+            assert found == df.agg(F.expr(f"percentile_disc({q}) within group (order by x)")).first()[0]
+
+
 def test_percentile_of_nothing(spark, rows):
     assert percentile(rows.filter("false"), ["x"], 0.5, "DeviceId").count() == 0
 
