@@ -141,6 +141,7 @@ def _unpacked(data: bytes, unpacker: zstandard.ZstdDecompressor) -> Piece:
 # --- the job ---------------------------------------------------------------------------------------------------------
 
 READ_ROWS = 64  # documents of a file that are read at a time
+REFERENCES = 1000  # to a chunk, for each copy of its encoding
 GROUP_BYTES = 16 << 20  # row groups of the written documents: bounds what a reader holds, however long the texts
 
 
@@ -197,26 +198,29 @@ def encode_documents(docs: DataFrame, path: str | None = None, digests: bool = F
     names = [name for name, _ in (part.split() for part in schema.split(", "))]
     alone = pieces.filter("number IS NULL AND chunk IS NULL").select(*names)
     encoded = pieces.filter("chunk IS NOT NULL").select("chunk", "packed")
-    # Only as many copies of an encoding as its chunk has salts, each for the references of that salt.
-    dealt = shared.select("chunk", "salt").join(encoded, "chunk")
-    taken = marks.join(dealt, ["chunk", "salt"]).select("id", "doc_id", "number", "packed")
+    # One copy of an encoding for about REFERENCES references to it: few chunks need a second one.
+    dealt = shared.select("chunk", "copy").distinct().join(encoded, "chunk")
+    taken = marks.join(dealt, ["chunk", "copy"]).select("id", "doc_id", "number", "packed")
     own = pieces.filter("number IS NOT NULL").select("id", "doc_id", "number", "packed")
     ordered = own.unionByName(taken).repartition("id").sortWithinPartitions("id", "number")
     return alone.unionByName(ordered.mapInArrow(_assembler(path, digests, schema), schema))
 
 
 def _marks(numbered: DataFrame, sizes: tuple[int, int, int]) -> tuple[DataFrame, DataFrame]:
-    """References to chunks that several documents have (id, doc_id, number, chunk, salt, owned), and the (chunk, salt) of
-    these with the owner."""
+    """References to chunks that several documents have (id, doc_id, number, chunk, copy, owned), and the (chunk, salt) of
+    these with the owner and the copy of the encoding that this salt takes."""
     def keys(ids, doc_ids, texts):
         for id_, doc_id, text in zip(ids, doc_ids, texts, strict=True):
             yield from ((id_, doc_id, i, xxhash.xxh3_128_digest(part)) for i, part in enumerate(_parts(text or "", sizes)))
 
     found = tasks.map_rows(numbered, ["id", "doc_id", "text"], "id long, doc_id long, number int, chunk binary", lambda: keys)
     references = tasks.written(tasks.salted(found, "id"), "references")
-    ends = tasks.group_totals(references.select("chunk", "salt", "id"), ["chunk"], owner=(F.min, F.min, "id"), last=(F.max, F.max, "id"))
-    shared = tasks.written(ends.filter("owner < last").drop("last"), "shared")
-    marks = references.join(shared, ["chunk", "salt"]).withColumn("owned", F.col("id") == F.col("owner")).drop("owner")
+    ends = tasks.group_totals(references.select("chunk", "salt", "id"), ["chunk"], owner=(F.min, F.min, "id"), last=(F.max, F.max, "id"),
+                              n=(F.count, F.sum, "id"))
+    copies = F.ceil(F.col("n") / REFERENCES)
+    shared = ends.filter("owner < last").select("chunk", "salt", "owner", F.pmod(F.col("salt").cast("long"), copies).alias("copy"))
+    shared = tasks.written(shared, "shared")
+    marks = references.join(shared, ["chunk", "salt"]).withColumn("owned", F.col("id") == F.col("owner")).drop("owner", "salt")
     return tasks.written(marks, "marks"), shared
 
 
