@@ -70,6 +70,12 @@ def test_a_payload_is_parsed_once(spark, small, name):
     assert plan_of(registry.queries()[name](spark, small)).split("Initial Plan")[0].count("from_json") == 1
 
 
+@pytest.mark.parametrize("name", ["reconcile_loss"])
+def test_received_rows_are_not_broadcast(spark, small, name):
+    plan = final_plan_of(registry.queries()[name](spark, small))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_baselines_shuffle_only_partial_results(large, small):
     rows = Tables(large, small).readings().select(
         "event_id", "DeviceId", *(F.col(s).alias(f"{s}_clean") for s in ("sensor1", "sensor2", "sensor3")))
