@@ -26,8 +26,9 @@ def join_derived(rows: DataFrame, table: DataFrame, on: list[str] | str, how: st
 
 def lost_rows(sent: DataFrame, received: DataFrame, on: list[str]) -> DataFrame:
     """Rows sent but not received; a NULL key is met by a NULL key. Both sides are hashed by the whole key, which spreads a
-    busy device."""
-    arrived = received.select(*(F.col(c).alias(f"_{c}") for c in on))
+    busy device. What arrived has as many rows as what was sent: few columns of a small file look small enough to broadcast, but
+    every task would hold all of them. A merge join spills instead."""
+    arrived = received.select(*(F.col(c).alias(f"_{c}") for c in on)).hint("merge")
     return sent.join(arrived, _same(on), "left_anti")
 
 
@@ -36,8 +37,7 @@ def _same(on: list[str]) -> Column:
 
 
 def reconcile(sent: DataFrame, received: DataFrame, on: list[str]) -> DataFrame:
-    """Per device: rows sent, rows lost and the loss in percent. Both sides are hashed and merged: few columns of
-    a small file look small enough to broadcast, but what arrived has as many rows as what was sent."""
+    """Per device: rows sent, rows lost and the loss in percent. Both sides are hashed, as in `lost_rows`."""
     marks = received.select(*(F.col(c).alias(f"_{c}") for c in on)).distinct().withColumn("_arrived", F.lit(1)).hint("merge")
     matched = sent.join(marks, _same(on), "left")
     lost = F.count_if(F.col("_arrived").isNull())

@@ -70,7 +70,7 @@ def test_a_payload_is_parsed_once(spark, small, name):
     assert plan_of(registry.queries()[name](spark, small)).split("Initial Plan")[0].count("from_json") == 1
 
 
-@pytest.mark.parametrize("name", ["reconcile_loss"])
+@pytest.mark.parametrize("name", ["reconcile_loss", "lost_readings"])
 def test_received_rows_are_not_broadcast(spark, small, name):
     plan = final_plan_of(registry.queries()[name](spark, small))
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
