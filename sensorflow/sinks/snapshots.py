@@ -59,6 +59,12 @@ class Layer:
     def part(self) -> Column:
         return F.to_json(F.array(*(F.col(p) for p in self.parts))) if self.parts else F.lit("[]")
 
+    def parts_of(self, placed: DataFrame) -> DataFrame:
+        """The parts that occur, named once each and not once a row."""
+        if not self.parts:
+            return placed.select(self.part().alias("part")).distinct()
+        return placed.select(*self.parts).distinct().select(self.part().alias("part"))
+
     def newest(self, df: DataFrame) -> DataFrame:
         """The rank limit is applied before the shuffle: copies of one key shrink to one per task."""
         by = Window.partitionBy(*self.keys).orderBy(*(F.desc(c) for c in self.order))
@@ -83,7 +89,7 @@ class Snapshots:
         schemas, gone, added = dict(head["schemas"]), {}, []
         for name, table in tables.items():
             layer = self.layers[name]
-            files, touched = self._write_layer(name, layer, table, before)
+            files, touched = self._write_layer(name, layer, table, before if name in schemas else None)
             added.append(files)
             if touched is not None:
                 gone[name] = touched
@@ -95,17 +101,22 @@ class Snapshots:
             table.unpersist()
         return version
 
-    def _write_layer(self, name: str, layer: Layer, table: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-        """The files written, and of a keyed layer the parts they replace."""
+    def _write_layer(self, name: str, layer: Layer, table: DataFrame,
+                     before: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+        """The files written, and of a keyed layer the parts they replace. `before` is None for a layer that has no files yet.
+
+        The part follows from the key, so the parts are those of the rows as they come; rows of the batch and rows that are
+        held are ranked together, once."""
         touched = None
         table = layer.placed(table)
         if layer.keys:
+            if before is not None:
+                touched = layer.parts_of(table).persist()
+                held = self._read(before.filter(F.col("layer") == name).join(touched, "part", "left_semi"), name, StructType(
+                    [f for f in table.schema.fields if f.name not in layer.parts]))
+                if held is not None:
+                    table = table.unionByName(layer.placed(held), allowMissingColumns=True)
             table = layer.newest(table)
-            touched = table.select(layer.part().alias("part")).distinct().persist()
-            held = self._read(before.filter(F.col("layer") == name).join(touched, "part", "left_semi"), name, StructType(
-                [f for f in table.schema.fields if f.name not in layer.parts]))
-            if held is not None:
-                table = layer.newest(table.unionByName(layer.placed(held), allowMissingColumns=True))
         return self._write_files(name, layer, table), touched
 
     def _write_files(self, name: str, layer: Layer, placed: DataFrame) -> DataFrame:
@@ -115,12 +126,15 @@ class Snapshots:
             placed = placed.hint("rebalance", *layer.parts)
         writer = placed.write.format(layer.kind).partitionBy(*layer.parts)
         (writer.option("compression", layer.codec) if layer.codec else writer).save(path)
-        kinds = StructType(placed.drop(*layer.parts).schema.fields)
+        # Rows of JSON are lines: they are counted without being parsed.
+        lines = layer.kind == "json"
+        kinds = StructType().add("value", "string") if lines else StructType(placed.drop(*layer.parts).schema.fields)
         for p in layer.parts:
             kinds = kinds.add(p, "string")
-        back = self.spark.read.format(layer.kind).schema(kinds).option("basePath", path).load(path)
-        return back.groupBy(F.lit(name).alias("layer"), layer.part().alias("part"), F.col("_metadata.file_path").alias("file")).agg(
+        back = self.spark.read.format("text" if lines else layer.kind).schema(kinds).option("basePath", path).load(path)
+        files = back.groupBy(*layer.parts, F.col("_metadata.file_path").alias("file")).agg(
             F.max("_metadata.file_size").alias("bytes"), F.count("*").alias("rows"))
+        return files.select(F.lit(name).alias("layer"), layer.part().alias("part"), "file", "bytes", "rows")
 
     def _commit(self, head: dict, manifest: DataFrame, runs: dict, schemas: dict) -> int:
         version, name = head["version"] + 1, uuid.uuid4().hex

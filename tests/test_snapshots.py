@@ -46,6 +46,22 @@ def test_untouched_parts_keep_their_files(spark, held):
     assert held.manifest().filter("layer = 'state'").agg(F.sum("rows")).first()[0] == 40
 
 
+def test_a_batch_is_ranked_once(spark, held, monkeypatch):
+    ranked, whole = [], Layer.newest
+    monkeypatch.setattr(Layer, "newest", lambda self, df: ranked.append(1) or whole(self, df))
+    parsed, read = [], Snapshots._write_files
+    monkeypatch.setattr(Snapshots, "_write_files", lambda *a: parsed.append(read(*a)) or parsed[-1])
+    held.write(tables(spark, [("a", 1, 1), ("a", 1, 2), ("b", 1, 1)]), "r", 0)
+    held.write(tables(spark, [("a", 1, 4), ("a", 1, 3), ("b", 2, 1), ("c", 1, 1)]), "r", 1)
+    assert len(ranked) == 2  # by layer and batch, not again for its parts and for what is held
+    assert state(held) == [("a", 1, 4), ("b", 1, 1), ("b", 2, 1), ("c", 1, 1)]
+    for files in parsed:  # the rows that were written are counted, lines of text in place of JSON
+        plan = files._jdf.queryExecution().optimizedPlan().toString()
+        assert " json" not in plan and "Window" not in plan
+    notes = held.manifest().filter("layer = 'notes'").agg(F.sum("rows")).first()[0]
+    assert notes == 7 == held.read("notes").count()
+
+
 def test_reading_does_not_grow_with_batches(spark, held):
     for batch in range(4):
         held.write({"state": tables(spark, [("a", 1, batch)])["state"]}, "r", batch)
