@@ -6,8 +6,8 @@
 2. A chunk that several documents share is encoded once, by its owner: the document with the smallest number. Shared keys
    stay in a table; references find theirs by (key, salt), so a chunk that a third of all documents have is spread.
 3. The documents' files are read a second time, each next to the marks of its shared chunks, in the order of the file. A
-   document without marks is encoded there. Of the others, chunks of their own and those they own are encoded, and the
-   shared ones are joined to the documents that refer to them.
+   document without marks, or that owns all its shared chunks, is finished there. Of the others, chunks of their own and those
+   they own are encoded, and they ask for the shared ones. Only what is asked for travels.
 4. A cut may fall inside a word, so each join is repaired: the window around it grows outward until it starts and ends at
    white space and is encoded again; what lies outside stands. White space is never part of a token and no token reaches
    over it, so such a window encodes exactly as in the whole text, and where a cut touches white space both sides already
@@ -29,6 +29,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sensorflow.llm import encoding, tasks, vocab
 from sensorflow.llm.shingles import mixed
@@ -191,41 +192,45 @@ def encode_documents(docs: DataFrame, path: str | None = None, digests: bool = F
     numbered = docs.select("doc_id", "text").withColumn("id", F.monotonically_increasing_id())
     numbered.write.option("compression", "zstd").option("parquet.block.size", GROUP_BYTES).parquet(folder)
     numbered = spark.read.schema(numbered.schema).parquet(folder)
-    marks, shared = _marks(numbered, sizes)
-    pieces = tasks.written(_encoded(numbered, marks, path, digests, results, sizes), "pieces")
+    pieces = tasks.written(_encoded(numbered, _marks(numbered, sizes), path, digests, results, sizes), "pieces")
     tasks.removed(folder)
 
     names = [name for name, _ in (part.split() for part in schema.split(", "))]
     alone = pieces.filter("number IS NULL AND chunk IS NULL").select(*names)
-    encoded = pieces.filter("chunk IS NOT NULL").select("chunk", "packed")
+    encoded = pieces.filter("number IS NULL AND chunk IS NOT NULL").select("chunk", "copy", "packed")
     # One copy of an encoding for about REFERENCES references to it: few chunks need a second one.
-    dealt = shared.select("chunk", "copy").distinct().join(encoded, "chunk")
-    taken = marks.join(dealt, ["chunk", "copy"]).select("id", "doc_id", "number", "packed")
-    own = pieces.filter("number IS NOT NULL").select("id", "doc_id", "number", "packed")
+    dealt = encoded.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copy") - 1)))
+    wanted = pieces.filter("number IS NOT NULL AND chunk IS NOT NULL").select("id", "doc_id", "number", "chunk", "copy")
+    taken = wanted.join(dealt, ["chunk", "copy"]).select("id", "doc_id", "number", "packed")
+    own = pieces.filter("number IS NOT NULL AND chunk IS NULL").select("id", "doc_id", "number", "packed")
     ordered = own.unionByName(taken).repartition("id").sortWithinPartitions("id", "number")
     return alone.unionByName(ordered.mapInArrow(_assembler(path, digests, schema), schema))
 
 
-def _marks(numbered: DataFrame, sizes: tuple[int, int, int]) -> tuple[DataFrame, DataFrame]:
-    """References to chunks that several documents have (id, doc_id, number, chunk, copy, owned), and the (chunk, salt) of
-    these with the owner and the copy of the encoding that this salt takes."""
-    def keys(ids, doc_ids, texts):
-        for id_, doc_id, text in zip(ids, doc_ids, texts, strict=True):
-            yield from ((id_, doc_id, i, xxhash.xxh3_128_digest(part)) for i, part in enumerate(_parts(text or "", sizes)))
+def _marks(numbered: DataFrame, sizes: tuple[int, int, int]) -> DataFrame:
+    """References to chunks that several documents have: id, number, chunk, the copy of the encoding that this one takes, and
+    where the document is the owner, how many copies there are."""
+    def keys(ids, texts):
+        for id_, text in zip(ids, texts, strict=True):
+            yield from ((id_, i, xxhash.xxh3_128_digest(part)) for i, part in enumerate(_parts(text or "", sizes)))
 
-    found = tasks.map_rows(numbered, ["id", "doc_id", "text"], "id long, doc_id long, number int, chunk binary", lambda: keys)
+    found = tasks.map_rows(numbered, ["id", "text"], "id long, number int, chunk binary", lambda: keys)
     references = tasks.written(tasks.salted(found, "id"), "references")
-    ends = tasks.group_totals(references.select("chunk", "salt", "id"), ["chunk"], owner=(F.min, F.min, "id"), last=(F.max, F.max, "id"),
-                              n=(F.count, F.sum, "id"))
-    copies = F.ceil(F.col("n") / REFERENCES)
-    shared = ends.filter("owner < last").select("chunk", "salt", "owner", F.pmod(F.col("salt").cast("long"), copies).alias("copy"))
+    # A group of the window is the salts of a chunk, however many references it has.
+    salts = references.groupBy("chunk", "salt").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("id").alias("n"))
+    whole = Window.partitionBy("chunk")
+    copies = F.least(F.ceil(F.sum("n").over(whole) / REFERENCES), F.lit(tasks.salts(numbered.sparkSession))).cast("int")
+    shared = salts.select("chunk", "salt", F.min("first").over(whole).alias("owner"), F.max("last").over(whole).alias("last"),
+                          copies.alias("copies")).filter("owner < last").drop("last")
     shared = tasks.written(shared, "shared")
-    marks = references.join(shared, ["chunk", "salt"]).withColumn("owned", F.col("id") == F.col("owner")).drop("owner", "salt")
-    return tasks.written(marks, "marks"), shared
+    marks = references.join(shared, ["chunk", "salt"]).select(
+        "id", "number", "chunk", F.pmod("salt", "copies").alias("copy"), F.when(F.col("id") == F.col("owner"), F.col("copies")).alias("copies"))
+    return tasks.written(marks, "marks")
 
 
 def _encoded(numbered: DataFrame, marks: DataFrame, path: str, digests: bool, results: str, sizes: tuple[int, int, int]) -> DataFrame:
-    """One row for each document without marks, for each piece of the others, and for each shared chunk.
+    """Documents with results, where no mark is another's; of the others, pieces of their own (number, packed) and what they ask
+    for (number, chunk, copy). Shared chunks (chunk, how many copies, packed), once each.
 
     Each written file goes to one task, followed by the marks of its documents in their order.
     """
@@ -233,12 +238,12 @@ def _encoded(numbered: DataFrame, marks: DataFrame, path: str, digests: bool, re
     files = numbered.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min("id").alias("start"))
     part, none = (lambda c: F.shiftright(c, 33).alias("part")), (lambda kind: F.lit(None).cast(kind))
     heads = files.select(part("start"), none("long").alias("id"), "start", "file", none("int").alias("number"),
-                         none("binary").alias("chunk"), none("boolean").alias("owned"))
-    rows = marks.select(part("id"), "id", none("long").alias("start"), none("string").alias("file"), "number", "chunk", "owned")
+                         none("binary").alias("chunk"), none("int").alias("copy"), none("int").alias("copies"))
+    rows = marks.select(part("id"), "id", none("long").alias("start"), none("string").alias("file"), "number", "chunk", "copy", "copies")
     # A named number of parts: marks are small, and what their size says about the work of a file is nothing.
     both = heads.unionByName(rows).repartition(tasks.salts(spark), "part").sortWithinPartitions(
         "part", F.asc_nulls_first("id"), "start", "number")
-    schema = f"id long, doc_id long, number int, chunk binary, packed binary, {results}"
+    schema = f"id long, doc_id long, number int, chunk binary, copy int, packed binary, {results}"
     empty = (None,) * (results.count(",") + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,27 +251,31 @@ def _encoded(numbered: DataFrame, marks: DataFrame, path: str, digests: bool, re
 
         def pieces() -> Iterator[tuple]:
             for id_, doc_id, text, marked in _with_marks(batches):
-                parts = _parts(text or "", sizes)
-                if not marked:
-                    ids = joined([encode_chunk(p.decode(), encode) for p in parts], encode)
-                    yield id_, doc_id, None, None, None, *finish(doc_id, ids)[1:]
-                    continue
-                done = set()
-                for i, data in enumerate(parts):
-                    key, owned = marked.get(i, (None, True))
-                    if owned and key not in done:
-                        packed = _packed(encode_chunk(data.decode(), encode), packer)
-                        yield id_, doc_id, None if key else i, key, packed, *empty
-                    if key:
-                        done.add(key)
+                alone, made, whole = all(copies for *_, copies in marked.values()), {}, []
+                for i, data in enumerate(_parts(text or "", sizes)):
+                    key, copy, copies = marked.get(i, (None, None, True))
+                    if copies and (piece := made.get(key)) is None:
+                        piece = encode_chunk(data.decode(), encode)
+                        packed = None if alone and not key else _packed(piece, packer)
+                        if key:
+                            made[key] = piece
+                            yield id_, doc_id, None, key, copies, packed, *empty
+                    if alone:
+                        whole.append(piece)
+                    elif key:
+                        yield id_, doc_id, i, key, copy, None, *empty
+                    else:
+                        yield id_, doc_id, i, None, None, packed, *empty
+                if alone:
+                    yield id_, doc_id, None, None, None, None, *finish(doc_id, joined(whole, encode))[1:]
 
         yield from tasks.batches(pieces(), tasks.arrow_schema(schema))
 
     return both.mapInArrow(run, schema)
 
 
-def _with_marks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int | None, str | None, dict[int, tuple[bytes, bool]]]]:
-    """The documents of each file with the marks (place -> key, owned) of each; both come in the order of their numbers."""
+def _with_marks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int | None, str | None, dict[int, tuple[bytes, int, int | None]]]]:
+    """The documents of each file with the marks (place -> key, copy, copies) of each; both come in the order of their numbers."""
     def rows() -> Iterator[tuple]:
         for batch in batches:
             yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
@@ -282,7 +291,7 @@ def _with_marks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int |
             for id_, doc_id, text in _documents(file):
                 marked = {}
                 while mark is not None and mark[1] == id_:
-                    marked[mark[4]] = mark[5], mark[6]
+                    marked[mark[4]] = mark[5:8]
                     mark = next(group, None)
                 yield id_, doc_id, text, marked
 

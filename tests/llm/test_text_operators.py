@@ -165,6 +165,45 @@ def test_equal_rows_are_spread(spark, texts, library):
     assert max(n for _, n in tasks_of) < len(rows) / 2
 
 
+def test_only_what_other_documents_ask_for_travels(spark, texts, library, monkeypatch):
+    tasks.prepare(spark)
+    tables, written = {}, tasks.written
+    monkeypatch.setattr(tasks, "written", lambda df, name: tables.setdefault(name, written(df, name)))
+    several = [t for t in texts.values() if t and len(t) > 2000][:20]
+    rows = [(i, t) for i, t in enumerate([*several, *several, *several, several[0] + " end", "alone"])]
+    wanted = Counter((i, np.array(ids_of(library, t), "<u4").tobytes()) for i, t in rows)
+    chunks = {i: set(chunk_reuse._parts(t, (64, 256, 4096))) for i, t in rows}
+    having = Counter(c for own in chunks.values() for c in own)
+    complete = {i for i, own in chunks.items() if all(having[c] == 1 or not any(c in chunks[j] for j in range(i)) for c in own)}
+    assert len(several) / 2 < len(complete) < len(several) + 2
+    for references in (1000, 2):  # the second: several copies of an encoding
+        tables.clear()
+        monkeypatch.setattr(chunk_reuse, "REFERENCES", references)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id")
+        found = chunk_reuse.encode_documents(docs, sizes=(64, 256, 4096))
+        assert Counter((r.doc_id, r.ids) for r in found.collect()) == wanted
+        pieces = tables["pieces"]
+        assert {r.doc_id for r in pieces.filter("n_tokens IS NOT NULL").collect()} == complete
+        assert not complete & {r.doc_id for r in pieces.filter("number IS NOT NULL").collect()}
+        packed = pieces.filter("packed IS NOT NULL AND chunk IS NOT NULL")
+        assert packed.count() == packed.select("chunk").distinct().count() == sum(n > 1 for n in having.values())
+        assert tables["marks"].agg(F.max("copy")).first()[0] == 0 if references == 1000 else packed.agg(F.max("copy")).first()[0] > 1
+
+
+def test_shared_chunks_are_found_in_two_exchanges(spark, monkeypatch):
+    tasks.prepare(spark)
+    plans, written = {}, tasks.written
+
+    def planned(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return written(df, name)
+
+    monkeypatch.setattr(tasks, "written", planned)
+    docs = spark.createDataFrame([(i, "same text of all " * 9) for i in range(9)], "doc_id long, text string")
+    assert chunk_reuse.encode_documents(docs, digests=True).distinct().count() == 9
+    assert plans["shared"].count("Exchange") == 2 and "Join" not in plans["shared"]
+
+
 # --- near duplicates ---------------------------------------------------------------------------------------------------
 
 def plain_set(text):
